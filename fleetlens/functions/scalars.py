@@ -51,8 +51,8 @@ def payment_method(code: str | Column) -> Column:
 
 
 def tip_pct(code: str | Column, tip: str | Column, fare: str | Column) -> Column:
-    """Tip as percent of fare, one decimal, for card trips only (NULL otherwise)."""
-    return F.when(_c(code) == 1, F.round(_c(tip) / _c(fare) * 100, 1))
+    """Tip as percent of fare, one decimal, for card trips only (NULL otherwise or for a zero fare)."""
+    return F.when(_c(code) == 1, F.round(F.try_divide(_c(tip), _c(fare)) * 100, 1))
 
 
 def distance_bucket(distance: str | Column) -> Column:

@@ -88,7 +88,8 @@ def enrich(trips: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
             "pickup_month": F.date_format("pickup_ts", "yyyy-MM"),
             "pickup_hour": F.hour("pickup_ts"),
             "day_of_week": F.date_format("pickup_ts", "E"),
-            "avg_mph": F.round(F.col("trip_distance") / (F.col(rules.duration_col) / F.lit(per_hour)), 2),
+            # NULL, not an error, for a zero duration (possible before cleaning).
+            "avg_mph": F.round(F.try_divide(F.col("trip_distance"), F.col(rules.duration_col) / F.lit(per_hour)), 2),
             "tip_pct": fx.tip_pct("payment_type", "tip_amount", "fare_amount").cast("double"),
             "payment_method": fx.payment_method("payment_type"),
         }

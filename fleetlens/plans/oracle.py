@@ -65,8 +65,8 @@ enrich AS (
          strftime(pickup_ts, '%Y-%m') AS pickup_month,
          CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour,
          strftime(pickup_ts, '%a') AS day_of_week,
-         ROUND(trip_distance / (trip_days / (CAST(3600 AS DOUBLE) / CAST(86400 AS DOUBLE))), 2) AS avg_mph,
-         CAST(CASE WHEN payment_type = 1 THEN ROUND(tip_amount / fare_amount * 100, 1) END AS DOUBLE) AS tip_pct,
+         ROUND(trip_distance / NULLIF(trip_days / (CAST(3600 AS DOUBLE) / CAST(86400 AS DOUBLE)), 0), 2) AS avg_mph,
+         CAST(CASE WHEN payment_type = 1 THEN ROUND(tip_amount / NULLIF(fare_amount, 0) * 100, 1) END AS DOUBLE) AS tip_pct,
          CASE WHEN payment_type = 1 THEN 'card'
               WHEN payment_type = 2 THEN 'cash'
               WHEN payment_type = 3 THEN 'no charge'
