@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.operators import aggregates as agg
-from fleetlens.operators import clean, joins, layout, quality, routes, windows
+from fleetlens.operators import clean, joins, layout, quality, routes, runmetrics, windows
 from fleetlens.sources import fixtures as fix
 
 RULES = clean.FIXTURE_RULES
@@ -100,5 +100,46 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
+COMPARE_BASELINE = "click"
+
+
+def _event_summary(spark: SparkSession, sf_dir: str, digits: int | None = 1) -> DataFrame:
+    t = fix.event_run_tables(spark, sf_dir)
+    return runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], digits)
+
+
+def run_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def skew(s, d):
+        t = fix.event_run_tables(s, d)
+        return runmetrics.stage_skew(t["stages"], t["tasks"], t["apps"])
+
+    def timeline(s, d):
+        t = fix.event_run_tables(s, d)
+        return runmetrics.stage_timeline(t["apps"], t["stages"])
+
+    def detail(s, d):
+        t = fix.event_run_tables(s, d)
+        return runmetrics.app_detail(runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], 1), t["apps"])
+
+    def jobs_table(s, d):
+        t = fix.order_run_tables(s, d)
+        return runmetrics.jobs_table(t["jobs"], t["job_stages"], t["stages"])
+
+    def skipped(s, d):
+        t = fix.order_run_tables(s, d)
+        return runmetrics.skipped_stages(t["job_stages"], t["stages"])
+
+    return {
+        "run_app_summary": lambda s, d: _event_summary(s, d, 1),
+        "run_app_detail": detail,
+        "run_stage_skew": skew,
+        "run_stage_timeline": timeline,
+        "run_jobs_table": jobs_table,
+        "run_skipped_stages": skipped,
+        "run_compare_long": lambda s, d: runmetrics.compare_long(_event_summary(s, d, None)),
+        "run_compare_ratio": lambda s, d: runmetrics.compare_ratio(_event_summary(s, d, None), COMPARE_BASELINE),
+    }
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**trip_queries()}
+    return {**trip_queries(), **run_queries()}

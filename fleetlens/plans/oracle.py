@@ -230,5 +230,143 @@ SELECT * FROM (SELECT *, concat_ws(',', {tags}) AS violations FROM trips) WHERE
     return o
 
 
+EVENT_RUN = """WITH tasks AS (
+  SELECT event_type AS app_id, user_id AS stage_id, 0 AS stage_attempt, event_id AS task_id,
+         CAST(ROUND(value * 1000) AS BIGINT) AS run_ms, TRUE AS successful,
+         CAST(FLOOR(CAST(ROUND(value * 1000) AS BIGINT) / 100) AS BIGINT) AS gc_ms,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) * 1000000 AS input_bytes,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) * 1000 AS shuffle_read_bytes,
+         CAST(ROUND(value * 1000) AS BIGINT) * 1000 AS shuffle_write_bytes,
+         epoch_us(ts) // 1000 AS ts_ms
+  FROM events
+),
+stages AS (
+  SELECT app_id, stage_id, stage_attempt, 'user ' || CAST(stage_id AS VARCHAR) AS name,
+         CAST(NULL AS VARCHAR) AS description, COUNT(*) AS num_tasks,
+         MIN(ts_ms) AS submission_ms, MAX(ts_ms) AS completion_ms, 'COMPLETE' AS status,
+         CAST(SUM(input_bytes) AS BIGINT) AS input_bytes,
+         CAST(SUM(shuffle_read_bytes) AS BIGINT) AS shuffle_read_bytes,
+         CAST(SUM(shuffle_write_bytes) AS BIGINT) AS shuffle_write_bytes,
+         CAST(SUM(gc_ms) AS BIGINT) AS gc_ms
+  FROM tasks GROUP BY app_id, stage_id, stage_attempt
+),
+jobs AS (
+  SELECT app_id, stage_id AS job_id, CASE WHEN app_id = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status
+  FROM stages
+),
+apps AS (
+  SELECT app_id, app_id AS app_name, MIN(ts_ms) AS start_ms, MAX(ts_ms) AS end_ms,
+         'events' AS spark_version, 'events' AS "user"
+  FROM tasks GROUP BY app_id
+),
+summary_raw AS (
+  SELECT a.app_name AS app, a.app_id,
+         (a.end_ms - a.start_ms) / CAST(1000 AS DOUBLE) AS duration_s,
+         COALESCE(j.jobs, 0) AS jobs, COALESCE(j.failed_jobs, 0) AS failed_jobs,
+         COALESCE(s.stages, 0) AS stages, CAST(COALESCE(s.tasks, 0) AS BIGINT) AS tasks,
+         COALESCE(s.input_bytes, 0) / CAST(1e6 AS DOUBLE) AS input_MB,
+         COALESCE(s.shuffle_write_bytes, 0) / CAST(1e6 AS DOUBLE) AS shuffle_write_MB,
+         COALESCE(s.gc_ms, 0) / CAST(1000 AS DOUBLE) AS gc_s
+  FROM apps a
+  LEFT JOIN (SELECT app_id, COUNT(*) AS jobs, COUNT(*) FILTER (WHERE status = 'FAILED') AS failed_jobs
+             FROM jobs GROUP BY app_id) j ON a.app_id = j.app_id
+  LEFT JOIN (SELECT app_id, COUNT(*) AS stages, SUM(num_tasks) AS tasks, SUM(input_bytes) AS input_bytes,
+                    SUM(shuffle_write_bytes) AS shuffle_write_bytes, SUM(gc_ms) AS gc_ms
+             FROM stages WHERE status <> 'SKIPPED' GROUP BY app_id) s ON a.app_id = s.app_id
+),
+summary AS (
+  SELECT app, app_id, {dur} AS duration_s, jobs, failed_jobs, stages, tasks,
+         {inp} AS input_MB, {sw} AS shuffle_write_MB, {gc} AS gc_s
+  FROM summary_raw
+)""".format(
+    dur=half_up_sql("duration_s", 1),
+    inp=half_up_sql("input_MB", 1),
+    sw=half_up_sql("shuffle_write_MB", 1),
+    gc=half_up_sql("gc_s", 1),
+)
+
+ORDER_RUN = """WITH lines AS (
+  SELECT l_orderkey, COUNT(*) AS num_tasks, MAX(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey
+),
+jobs AS (
+  SELECT 'orders' AS app_id, o.o_orderkey AS job_id, epoch_ms(o.o_orderdate) AS submission_ms,
+         epoch_ms(l.last_ship) AS completion_ms,
+         CASE WHEN o.o_orderstatus = 'F' THEN 'SUCCEEDED' WHEN o.o_orderstatus = 'P' THEN 'FAILED'
+              ELSE 'RUNNING' END AS status,
+         o.o_orderpriority AS description, 'order ' || CAST(o.o_orderkey AS VARCHAR) AS name,
+         COALESCE(l.num_tasks, 0) AS num_tasks
+  FROM orders o LEFT JOIN lines l ON o.o_orderkey = l.l_orderkey
+),
+skipped AS (
+  SELECT 'orders' AS app_id, o.o_orderkey AS job_id, o.o_orderkey AS stage_id
+  FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+)"""
+
+
+def run_oracles() -> dict[str, str]:
+    from fleetlens.plans.catalog import COMPARE_BASELINE
+
+    o: dict[str, str] = {}
+    o["run_app_summary"] = EVENT_RUN + "\nSELECT * FROM summary"
+    o["run_app_detail"] = EVENT_RUN + """
+SELECT s.*, a.spark_version, a."user", make_timestamp(a.start_ms * 1000) AS start_time
+FROM summary s JOIN apps a ON s.app_id = a.app_id"""
+    o["run_stage_skew"] = EVENT_RUN + """,
+ranked AS (
+  SELECT app_id, stage_id, stage_attempt, run_ms,
+         ROW_NUMBER() OVER (PARTITION BY app_id, stage_id, stage_attempt ORDER BY run_ms) - 1 AS idx,
+         COUNT(*) OVER (PARTITION BY app_id, stage_id, stage_attempt) AS n
+  FROM tasks WHERE successful
+),
+q AS (
+  SELECT app_id, stage_id, stage_attempt,
+         MAX(CASE WHEN idx = LEAST(FLOOR(n * 0.5), n - 1) THEN run_ms END) AS median_ms,
+         MAX(run_ms) AS max_ms
+  FROM ranked GROUP BY app_id, stage_id, stage_attempt
+)
+SELECT s.app_id, a.app_name AS app, s.stage_id, s.stage_attempt, s.num_tasks AS tasks,
+       q.median_ms / CAST(1000 AS DOUBLE) AS median_task_s, q.max_ms / CAST(1000 AS DOUBLE) AS max_task_s,
+       LEFT(COALESCE(NULLIF(s.description, ''), s.name), 60) AS description
+FROM stages s
+JOIN q ON s.app_id = q.app_id AND s.stage_id = q.stage_id AND s.stage_attempt = q.stage_attempt
+LEFT JOIN apps a ON s.app_id = a.app_id
+WHERE s.status = 'COMPLETE' AND s.num_tasks >= 4
+  AND q.max_ms >= 1000 AND q.max_ms > 5 * GREATEST(q.median_ms, 1)"""
+    o["run_stage_timeline"] = EVENT_RUN + """
+SELECT s.app_id, s.stage_id, s.stage_attempt, 'Stage ' || CAST(s.stage_id AS VARCHAR) AS stage,
+       UPPER(LEFT(s.status, 1)) || LOWER(SUBSTR(s.status, 2)) AS status,
+       COALESCE(s.description, s.name) AS label,
+       (s.submission_ms - a.start_ms) / CAST(1000 AS DOUBLE) AS start_s,
+       (s.completion_ms - a.start_ms) / CAST(1000 AS DOUBLE) AS end_s,
+       s.num_tasks,
+       (s.shuffle_write_bytes + s.shuffle_read_bytes) / CAST(1e6 AS DOUBLE) AS shuffle_MB,
+       (s.completion_ms - a.start_ms) / CAST(1000 AS DOUBLE) - (s.submission_ms - a.start_ms) / CAST(1000 AS DOUBLE)
+           AS duration_s
+FROM stages s JOIN apps a ON s.app_id = a.app_id
+WHERE s.status <> 'SKIPPED' AND s.submission_ms IS NOT NULL AND s.completion_ms IS NOT NULL"""
+    o["run_jobs_table"] = ORDER_RUN + """
+SELECT j.app_id, j.job_id, j.description,
+       CASE WHEN j.status = 'SUCCEEDED' THEN '✅ Succeeded' WHEN j.status = 'FAILED' THEN '❌ Failed'
+            ELSE j.status END AS status,
+       (j.completion_ms - j.submission_ms) / CAST(1000 AS DOUBLE) AS duration_s,
+       j.num_tasks, COALESCE(k.n, 0) AS skipped_stages, j.name
+FROM jobs j LEFT JOIN (SELECT app_id, job_id, COUNT(*) AS n FROM skipped GROUP BY app_id, job_id) k
+  ON j.app_id = k.app_id AND j.job_id = k.job_id"""
+    o["run_skipped_stages"] = ORDER_RUN + "\nSELECT app_id, job_id, stage_id FROM skipped"
+    metrics = ["duration_s", "tasks", "stages", "jobs", "input_MB", "shuffle_write_MB", "gc_s"]
+    o["run_compare_long"] = EVENT_RUN + "\n" + "\nUNION ALL\n".join(
+        f"SELECT app_id, app, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM summary_raw" for m in metrics
+    )
+    ratios = {"duration_s": "duration_ratio", "stages": "stages_ratio", "tasks": "tasks_ratio",
+              "input_MB": "input_ratio", "shuffle_write_MB": "shuffle_ratio"}
+    cols = ", ".join(
+        f"CAST(s.{m} AS DOUBLE) / NULLIF(CAST(b.{m} AS DOUBLE), 0) AS {r}" for m, r in ratios.items()
+    )
+    o["run_compare_ratio"] = EVENT_RUN + f"""
+SELECT s.app_id, s.app, '{COMPARE_BASELINE}' AS baseline, {cols}
+FROM summary_raw s, (SELECT * FROM summary_raw WHERE app_id = '{COMPARE_BASELINE}') b"""
+    return o
+
+
 def all_oracles() -> dict[str, str]:
-    return {**trip_oracles()}
+    return {**trip_oracles(), **run_oracles()}

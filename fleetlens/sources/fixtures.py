@@ -6,7 +6,8 @@ unchanged on them:
 
 ``trips_raw``  = lineitem ⋈ orders ⋈ customer ⋈ supplier, with raw taxi column names
 ``zones_raw``  = nation ⋈ region as (LocationID, Borough, Zone)
-``task_metrics`` = events read as per-task run metrics (stand-in for event-log tasks)
+``event_run_tables`` = events as apps, jobs, stages and tasks (stand-in for event logs)
+``order_run_tables`` = orders as jobs, lineitem as the stages they ran
 
 Money columns are exact decimals built from the two-decimal inputs, so sums
 and means do not depend on the order in which partitions are combined.
@@ -86,21 +87,118 @@ def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def task_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a task table: app = event_type, stage = user_id, task = event_id.
 
-    Columns match :func:`fleetlens.sources.eventlog.read_tasks`: ``app_id``,
-    ``stage_id``, ``stage_attempt``, ``task_id``, ``run_ms``, ``ts``,
-    ``successful`` and ``failed``.
+    Run time is ``value`` seconds in ms; per-task byte counts come from the
+    ``k`` field of ``props`` (input k MB, shuffle read k KB) and from the run
+    time (shuffle write 1 KB per ms); GC is 1 ms per 100 ms of run time.
+    Columns match :func:`fleetlens.sources.eventlog.EventLog.tasks`.
     """
     ev = table(spark, sf_dir, "events")
+    run_ms = F.round(F.col("value") * 1000).cast("bigint")
+    k = F.get_json_object("props", "$.k").cast("bigint")
     return ev.select(
         F.col("event_type").alias("app_id"),
         F.col("user_id").alias("stage_id"),
         F.lit(0).alias("stage_attempt"),
         F.col("event_id").alias("task_id"),
-        F.round(F.col("value") * 1000).cast("bigint").alias("run_ms"),
-        F.col("ts"),
+        run_ms.alias("run_ms"),
         F.lit(True).alias("successful"),
-        (F.col("event_type") == "error").alias("failed"),
+        F.floor(run_ms / 100).alias("gc_ms"),
+        (k * 1_000_000).alias("input_bytes"),
+        (k * 1000).alias("shuffle_read_bytes"),
+        (run_ms * 1000).alias("shuffle_write_bytes"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
     )
+
+
+def event_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """apps / jobs / stages / tasks over ``events``.
+
+    A stage is (event_type, user_id), submitted at its first event and
+    completed at its last; each stage is one job, FAILED when the app is
+    ``error``; an app spans its first to last event.
+    """
+    from fleetlens.operators.runmetrics import STAGE_KEY, stage_task_totals
+
+    tasks = event_tasks(spark, sf_dir)
+    info = tasks.groupBy(*STAGE_KEY).agg(
+        F.count("*").alias("num_tasks"),
+        F.min("ts_ms").alias("submission_ms"),
+        F.max("ts_ms").alias("completion_ms"),
+    )
+    stages = info.join(stage_task_totals(tasks), STAGE_KEY).select(
+        *STAGE_KEY,
+        F.concat(F.lit("user "), F.col("stage_id").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("description"),
+        "num_tasks",
+        "submission_ms",
+        "completion_ms",
+        F.lit("COMPLETE").alias("status"),
+        "input_bytes",
+        "shuffle_read_bytes",
+        "shuffle_write_bytes",
+        "gc_ms",
+    )
+    jobs = stages.select(
+        "app_id",
+        F.col("stage_id").alias("job_id"),
+        "submission_ms",
+        "completion_ms",
+        F.when(F.col("app_id") == "error", "FAILED").otherwise("SUCCEEDED").alias("status"),
+        "description",
+        "name",
+        "num_tasks",
+    )
+    apps = tasks.groupBy("app_id").agg(
+        F.lit(None).cast("string").alias("attempt_id"),
+        F.col("app_id").alias("app_name"),
+        F.min("ts_ms").alias("start_ms"),
+        F.max("ts_ms").alias("end_ms"),
+        F.lit("events").alias("spark_version"),
+        F.lit("events").alias("user"),
+    )
+    return {"apps": apps, "jobs": jobs, "stages": stages, "tasks": tasks}
+
+
+ORDERS_APP = "orders"
+
+
+def order_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """jobs / job_stages / stages over ``orders`` and ``lineitem``.
+
+    Every order is a job that lists one stage (id = order key); the stage ran
+    when the order has lineitems (one task per line, done at the last ship
+    date), so an order without lineitems is a job with a skipped stage.  Job
+    status comes from the order status: F succeeded, P failed, O still running.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").alias("num_tasks"),
+        F.max("l_shipdate").alias("last_ship"),
+    )
+    orders = table(spark, sf_dir, "orders")
+    app = F.lit(ORDERS_APP).alias("app_id")
+    stages = lines.select(
+        app,
+        F.col("l_orderkey").alias("stage_id"),
+        F.lit(0).alias("stage_attempt"),
+        F.col("num_tasks"),
+        F.unix_millis(F.col("last_ship").cast("timestamp")).alias("completion_ms"),
+        F.lit("COMPLETE").alias("status"),
+    )
+    jobs = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        app,
+        F.col("o_orderkey").alias("job_id"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("submission_ms"),
+        F.unix_millis(F.col("last_ship").cast("timestamp")).alias("completion_ms"),
+        F.when(F.col("o_orderstatus") == "F", "SUCCEEDED")
+        .when(F.col("o_orderstatus") == "P", "FAILED")
+        .otherwise("RUNNING")
+        .alias("status"),
+        F.col("o_orderpriority").alias("description"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.coalesce("num_tasks", F.lit(0).cast("bigint")).alias("num_tasks"),
+    )
+    job_stages = orders.select(app, F.col("o_orderkey").alias("job_id"), F.col("o_orderkey").alias("stage_id"))
+    return {"jobs": jobs, "job_stages": job_stages, "stages": stages}
