@@ -41,9 +41,13 @@ FIXTURE_RULES = CleanRules(
 )
 
 
-def standardize(raw: DataFrame) -> DataFrame:
-    """Project, rename and cast the 11 raw columns to the standard trip names."""
+def standardize(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Project, rename and cast the 11 raw columns to the standard trip names.
+
+    ``carry`` names extra columns (e.g. a row id) passed through unchanged.
+    """
     return raw.select(
+        *carry,
         F.col("VendorID").alias("vendor_id"),
         F.col("tpep_pickup_datetime").alias("pickup_ts"),
         F.col("tpep_dropoff_datetime").alias("dropoff_ts"),
@@ -96,14 +100,14 @@ def enrich(trips: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
     )
 
 
-def enriched_trips(raw: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
+def enriched_trips(raw: DataFrame, rules: CleanRules = TAXI_RULES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every raw trip, standardised and enriched, without the cleaning filter."""
-    return enrich(with_duration(standardize(raw), rules), rules)
+    return enrich(with_duration(standardize(raw, carry), rules), rules)
 
 
-def clean_trips(raw: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
+def clean_trips(raw: DataFrame, rules: CleanRules = TAXI_RULES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Raw trips → standard, filtered, enriched trips (the cleaned table)."""
-    return enrich(with_duration(standardize(raw), rules).filter(keep_rule(rules)), rules)
+    return enrich(with_duration(standardize(raw, carry), rules).filter(keep_rule(rules)), rules)
 
 
 def clean_reconcile(raw: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
