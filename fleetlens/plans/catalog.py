@@ -7,6 +7,8 @@ the library's operators.  The matching DuckDB SQL lives in
 Trip queries run over the *whole* trip view (every lineitem), standardised
 and enriched but not cleaned, so their work grows with the tables; the
 cleaning filter has its own keys (``clean_trips``, ``clean_reconcile``).
+Like the reference's ingest job, the joined and enriched view is written
+once per application and every report reads it.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins, layout, quality, routes, runmetrics, windows
 from fleetlens.sources import fixtures as fix
+from fleetlens.sources.staging import staged
 
 RULES = clean.FIXTURE_RULES
 # Fixture fares are order-line prices (up to ~100k), so the "looks wrong" fare is higher.
@@ -27,7 +30,8 @@ SKEW_KEYS = ["payment_method", "pickup_date"]
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES)
+    """The enriched trip view, staged once per application (see :mod:`fleetlens.sources.staging`)."""
+    return staged(spark, f"trips:{sf_dir}", lambda: clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
