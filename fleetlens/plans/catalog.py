@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins, layout, quality, routes, runmetrics, windows
 from fleetlens.sources import fixtures as fix
-from fleetlens.sources.staging import staged, staged_tables
+from fleetlens.sources.staging import staged
 
 RULES = clean.FIXTURE_RULES
 # Fixture fares are order-line prices (up to ~100k), so the "looks wrong" fare is higher.
@@ -108,13 +108,17 @@ COMPARE_BASELINE = "click"
 
 
 def event_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """apps / jobs / stages / tasks over ``events``, staged once per application."""
-    return staged_tables(spark, f"event_run:{sf_dir}", lambda: fix.event_run_tables(spark, sf_dir))
+    """apps / jobs / stages / tasks over ``events``; the task table is staged once per application
+    (as a parsed event log would be), the per-stage and per-app tables are derived from it."""
+    tasks = staged(spark, f"event_tasks:{sf_dir}", lambda: fix.event_tasks(spark, sf_dir))
+    return fix.event_run_tables(spark, sf_dir, tasks)
 
 
 def order_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """jobs / job_stages / stages over ``orders`` and ``lineitem``, staged once per application."""
-    return staged_tables(spark, f"order_run:{sf_dir}", lambda: fix.order_run_tables(spark, sf_dir))
+    """jobs / job_stages / stages over ``orders`` and ``lineitem``; the per-order lineitem
+    aggregate is staged once per application."""
+    lines = staged(spark, f"order_lines:{sf_dir}", lambda: fix.order_lines(spark, sf_dir))
+    return fix.order_run_tables(spark, sf_dir, lines)
 
 
 def _event_summary(spark: SparkSession, sf_dir: str, digits: int | None = 1) -> DataFrame:

@@ -145,8 +145,8 @@ def event_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """apps / jobs / stages / tasks over ``events``.
+def event_run_tables(spark: SparkSession, sf_dir: str, tasks: DataFrame | None = None) -> dict[str, DataFrame]:
+    """apps / jobs / stages / tasks over ``events`` (``tasks`` may be passed in, e.g. staged).
 
     A stage is (event_type, user_id), submitted at its first event and
     completed at its last; each stage is one job, FAILED when the app is
@@ -154,7 +154,7 @@ def event_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """
     from fleetlens.operators.runmetrics import STAGE_KEY, stage_task_totals
 
-    tasks = event_tasks(spark, sf_dir)
+    tasks = tasks if tasks is not None else event_tasks(spark, sf_dir)
     info = tasks.groupBy(*STAGE_KEY).agg(
         F.count("*").alias("num_tasks"),
         F.min("ts_ms").alias("submission_ms"),
@@ -197,7 +197,15 @@ def event_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 ORDERS_APP = "orders"
 
 
-def order_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order key: number of lineitems and the last ship date."""
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").alias("num_tasks"),
+        F.max("l_shipdate").alias("last_ship"),
+    )
+
+
+def order_run_tables(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """jobs / job_stages / stages over ``orders`` and ``lineitem``.
 
     Every order is a job that lists one stage (id = order key); the stage ran
@@ -205,10 +213,7 @@ def order_run_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     date), so an order without lineitems is a job with a skipped stage.  Job
     status comes from the order status: F succeeded, P failed, O still running.
     """
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.count("*").alias("num_tasks"),
-        F.max("l_shipdate").alias("last_ship"),
-    )
+    lines = lines if lines is not None else order_lines(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     app = F.lit(ORDERS_APP).alias("app_id")
     stages = lines.select(

@@ -30,16 +30,3 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Dat
         _STAGED[memo] = path
     return spark.read.parquet(_STAGED[memo])
 
-
-def staged_tables(spark: SparkSession, key: str, build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Each table of ``build()`` staged as :func:`staged` does (``build`` runs once per application)."""
-    memo = (spark.sparkContext.applicationId, key)
-    if memo not in _TABLE_NAMES:
-        tables = build()
-        for name, df in tables.items():
-            staged(spark, f"{key}:{name}", lambda df=df: df)
-        _TABLE_NAMES[memo] = list(tables)
-    return {name: staged(spark, f"{key}:{name}", lambda: None) for name in _TABLE_NAMES[memo]}
-
-
-_TABLE_NAMES: dict[tuple[str, str], list[str]] = {}
