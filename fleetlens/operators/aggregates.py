@@ -61,7 +61,7 @@ def hourly_stats(
     view = f"trips_{uuid.uuid4().hex[:12]}"
     trips.createOrReplaceTempView(view)
     half_up_mean = "CAST(FLOOR(CAST(SUM({c}) AS DOUBLE) / COUNT({c}) * 10 + 0.5) / 10 AS DOUBLE)"
-    return trips.sparkSession.sql(
+    out = trips.sparkSession.sql(
         f"""
         SELECT {day_col} AS day_of_week,
                {hour_col} AS pickup_hour,
@@ -74,6 +74,9 @@ def hourly_stats(
         ORDER BY day_of_week, pickup_hour
         """
     )
+    # the analysed plan already holds the view's plan; the name is not needed any more
+    trips.sparkSession.catalog.dropTempView(view)
+    return out
 
 
 def payment_mix(

@@ -263,14 +263,18 @@ RATIO_METRICS = {
 
 
 def compare_ratio(summary: DataFrame, baseline_app_id: str) -> DataFrame:
-    """Each app's metrics divided by the baseline app's (NULL where the baseline is 0).
+    """Each app's metrics divided by the baseline app's (NULL where the baseline is 0 or missing).
 
-    The baseline's values reach every row through a window over the summary
-    (one row per app), so no join or cross product is needed.
+    The baseline is one row of the summary; it is fetched once (a bounded,
+    one-row read) and applied as literals, so the division is a narrow
+    per-row projection: no join, no cross product, no single-task window.
     """
-    every = Window.partitionBy()
-    base = {m: F.max(F.when(F.col("app_id") == baseline_app_id, F.col(m))).over(every) for m in RATIO_METRICS}
-    cols = [F.try_divide(F.col(m).cast("double"), base[m].cast("double")).alias(r) for m, r in RATIO_METRICS.items()]
+    base = summary.filter(F.col("app_id") == baseline_app_id).select(*RATIO_METRICS).limit(1).collect()
+    values = base[0].asDict() if base else {m: None for m in RATIO_METRICS}
+    cols = [
+        F.try_divide(F.col(m).cast("double"), F.lit(values[m]).cast("double")).alias(r)
+        for m, r in RATIO_METRICS.items()
+    ]
     return summary.select("app_id", "app", F.lit(baseline_app_id).alias("baseline"), *cols)
 
 
