@@ -36,7 +36,10 @@ def _log_bucket(v: Column) -> Column:
     return F.when(v < 0, -mag - 1).otherwise(mag)
 
 
-def group_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str) -> DataFrame:
+def group_quantile(
+    df: DataFrame, keys: list[str], value: str, q: float, out: str, count_col: str | None = None,
+    max_col: str | None = None,
+) -> DataFrame:
     """Per group of ``keys``: the value at 0-based index ``min(floor(q·n), n-1)`` of the sorted values.
 
     That is the index rule of the monitoring API's task summaries (the upper
@@ -44,42 +47,48 @@ def group_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: st
     group: values are first counted per distinct value (map-side combine), the
     counts are folded into at most ~2,000 log-scale buckets per group to find
     the bucket holding the wanted index, and only that bucket's distinct
-    values are ordered.
+    values are ordered.  ``count_col`` / ``max_col`` also return the group's
+    size and largest value, which fall out of the bucket pass for free.
     """
     hist = df.groupBy(*keys, value).agg(F.count("*").alias("_c")).withColumn("_b", _log_bucket(F.col(value)))
-    buckets = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    buckets = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"), F.max(value).alias("_bmax"))
     group = Window.partitionBy(*keys)
     before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     picked = (
         buckets.withColumns(
             {
                 "_n": F.sum("_bc").over(group),
+                "_max": F.max("_bmax").over(group),
                 "_before": F.coalesce(F.sum("_bc").over(before), F.lit(0)),
             }
         )
         .withColumn("_k", F.least(F.floor(F.col("_n") * q), F.col("_n") - 1))
         .filter((F.col("_before") <= F.col("_k")) & (F.col("_k") < F.col("_before") + F.col("_bc")))
-        .select(*keys, "_b", (F.col("_k") - F.col("_before")).alias("_r"))
+        .select(*keys, "_b", (F.col("_k") - F.col("_before")).alias("_r"), "_n", "_max")
     )
     in_bucket = hist.join(picked, [*keys, "_b"])
     before_v = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    extra = ([F.col("_n").alias(count_col)] if count_col else []) + ([F.col("_max").alias(max_col)] if max_col else [])
     return (
         in_bucket.withColumn("_vb", F.coalesce(F.sum("_c").over(before_v), F.lit(0)))
         .filter((F.col("_vb") <= F.col("_r")) & (F.col("_r") < F.col("_vb") + F.col("_c")))
-        .select(*keys, F.col(value).alias(out))
+        .select(*keys, F.col(value).alias(out), *extra)
     )
 
 
 # --- per-stage and per-app tables -----------------------------------------------------------
 
+TASK_TOTALS = ["input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "gc_ms"]
+
+
+def task_total_aggs() -> list[Column]:
+    """Aggregates summing the task metrics a stage reports."""
+    return [F.sum(c).alias(c) for c in TASK_TOTALS]
+
+
 def stage_task_totals(tasks: DataFrame) -> DataFrame:
     """Summed task metrics per stage attempt (what a stage reports for its tasks)."""
-    return tasks.groupBy(*STAGE_KEY).agg(
-        F.sum("input_bytes").alias("input_bytes"),
-        F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
-        F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
-        F.sum("gc_ms").alias("gc_ms"),
-    )
+    return tasks.groupBy(*STAGE_KEY).agg(*task_total_aggs())
 
 
 def latest_attempts(apps: DataFrame) -> DataFrame:
@@ -165,11 +174,9 @@ def stage_skew(
         eligible = eligible.filter(F.col("app_id") == app_id)
         tasks = tasks.filter(F.col("app_id") == app_id)
     ok = tasks.filter(F.col("successful"))
-    median = group_quantile(ok, STAGE_KEY, "run_ms", 0.5, "median_ms")
-    longest = ok.groupBy(*STAGE_KEY).agg(F.max("run_ms").alias("max_ms"))
+    quantiles = group_quantile(ok, STAGE_KEY, "run_ms", 0.5, "median_ms", max_col="max_ms")
     flagged = (
-        eligible.join(median, STAGE_KEY)
-        .join(longest, STAGE_KEY)
+        eligible.join(quantiles, STAGE_KEY)
         .filter(
             (F.col("max_ms") >= min_max_ms)
             & (F.col("max_ms") > F.lit(ratio) * F.greatest(F.col("median_ms"), F.lit(1)))

@@ -152,15 +152,16 @@ def event_run_tables(spark: SparkSession, sf_dir: str, tasks: DataFrame | None =
     completed at its last; each stage is one job, FAILED when the app is
     ``error``; an app spans its first to last event.
     """
-    from fleetlens.operators.runmetrics import STAGE_KEY, stage_task_totals
+    from fleetlens.operators.runmetrics import STAGE_KEY, task_total_aggs
 
     tasks = tasks if tasks is not None else event_tasks(spark, sf_dir)
     info = tasks.groupBy(*STAGE_KEY).agg(
         F.count("*").alias("num_tasks"),
         F.min("ts_ms").alias("submission_ms"),
         F.max("ts_ms").alias("completion_ms"),
+        *task_total_aggs(),
     )
-    stages = info.join(stage_task_totals(tasks), STAGE_KEY).select(
+    stages = info.select(
         *STAGE_KEY,
         F.concat(F.lit("user "), F.col("stage_id").cast("string")).alias("name"),
         F.lit(None).cast("string").alias("description"),

@@ -60,3 +60,13 @@ def test_cached_releases_storage(spark):
 def test_checkpoint_dir_comes_from_the_session(spark):
     d = ensure_checkpoint_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
+
+
+def test_scale_conf_sizes_partitions_to_the_input():
+    from fleetlens.session import scale_conf
+
+    big = scale_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = scale_conf(10 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
