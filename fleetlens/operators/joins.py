@@ -17,10 +17,21 @@ from fleetlens import functions as fx
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim`` unchanged."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows.  Its answer is remembered
+    per application and query plan (``semanticHash``), so a dimension used by
+    many queries is counted once (inputs are not rewritten while an
+    application runs).
+    """
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if _CHECKED[key] else dim
 
 
 def zone_role(zones: DataFrame, prefix: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.session import ensure_checkpoint_dir
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple[str, str], DataFrame] = {}
 
 
 def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -27,6 +27,6 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Dat
         root = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{root}/staged/{hashlib.sha1(key.encode()).hexdigest()[:16]}"
         build().write.mode("overwrite").parquet(path)
-        _STAGED[memo] = path
-    return spark.read.parquet(_STAGED[memo])
+        _STAGED[memo] = spark.read.parquet(path)
+    return _STAGED[memo]
 
