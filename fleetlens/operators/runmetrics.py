@@ -18,8 +18,6 @@ without jobs or stages still gets a row with zeros.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -284,6 +282,3 @@ def compare_ratio(summary: DataFrame, baseline_app_id: str) -> DataFrame:
     ]
     return summary.select("app_id", "app", F.lit(baseline_app_id).alias("baseline"), *cols)
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
