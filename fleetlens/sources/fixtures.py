@@ -82,10 +82,12 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = (
-        li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    # Orders meet customers first (an order-sized join), so when no side is small enough
+    # to broadcast the lineitem-sized rows are shuffled twice (order key, supplier key)
+    # instead of three times.
+    order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
     # Exact money in compact decimals (precision <= 18 stays a long inside Spark):
     # prices are below 10^7 and discount / tax below 1, so every product fits.
