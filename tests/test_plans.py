@@ -68,3 +68,24 @@ def test_range_index_splits_a_hot_order_value(spark):
     indexed = windows.range_indexed(df, [F.asc("k"), F.asc("tie")], partitions=8)
     sizes = [r["count"] for r in indexed.groupBy("_part").count().collect()]
     assert max(sizes) < 0.25 * sum(sizes)
+
+
+def test_naive_and_optimised_route_chains_agree(spark):
+    from fleetlens.operators import routes
+
+    trips, zones = catalog.trips(spark, SF_SMALL), catalog.zones(spark, SF_SMALL)
+    opt = {(r.pu_borough, r.pickup_date): r for r in routes.route_rollup(trips, zones).collect()}
+    naive = {(r.pu_borough, r.pickup_date): r for r in route_chain_naive(trips, zones, partitions=8).collect()}
+    assert opt.keys() == naive.keys()
+    for k, r in opt.items():
+        assert r.trips == naive[k].trips
+        assert abs(r.avg_miles - naive[k].avg_miles) <= 0.011  # round(avg) vs exact half-up mean
+    # running totals agree wherever the trips order has no ties
+    counts = sorted((r.trips for r in opt.values()), reverse=True)
+    ranked = sorted(naive.values(), key=lambda r: -r.trips)
+    total = 0
+    for i, r in enumerate(ranked):
+        total += r.trips
+        unique = (i == 0 or counts[i - 1] != counts[i]) and (i + 1 == len(counts) or counts[i + 1] != counts[i])
+        if unique:
+            assert r.running_total == total
