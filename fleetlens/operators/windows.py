@@ -135,6 +135,8 @@ def rolling_mean(
     so every frame lies inside one block; halo copies are dropped afterwards.
     """
     k = rows - 1
+    if block_rows is not None and block_rows < max(k, 1):
+        raise ValueError(f"block_rows must be at least rows - 1 = {k}: a frame may only reach one block back")
     indexed = range_indexed(df, order, partitions)
     offsets = _partition_offsets(indexed, None)
     if block_rows:
