@@ -136,7 +136,7 @@ def app_summary(apps: DataFrame, jobs: DataFrame, stages: DataFrame, digits: int
     )
     if digits is not None:
         out = out.withColumns({m: fx.half_up(m, digits) for m in ["duration_s", "input_MB", "shuffle_write_MB", "gc_s"]})
-    return out
+    return out.orderBy("app", "app_id")
 
 
 def app_detail(summary: DataFrame, apps: DataFrame, app_id: str | None = None) -> DataFrame:
@@ -194,7 +194,7 @@ def stage_skew(
         (F.col("median_ms") / 1000.0).alias("median_task_s"),
         (F.col("max_ms") / 1000.0).alias("max_task_s"),
         fx.text_or_fallback("description", "name", 60).alias("description"),
-    )
+    ).orderBy("app", "app_id", "stage_id", "stage_attempt")
 
 
 def stage_timeline(apps: DataFrame, stages: DataFrame, app_id: str | None = None) -> DataFrame:
@@ -218,6 +218,7 @@ def stage_timeline(apps: DataFrame, stages: DataFrame, app_id: str | None = None
             ((F.col("shuffle_write_bytes") + F.col("shuffle_read_bytes")) / 1e6).alias("shuffle_MB"),
         )
         .withColumn("duration_s", F.col("end_s") - F.col("start_s"))
+        .orderBy("app_id", "stage_id", "stage_attempt")
     )
 
 
@@ -248,7 +249,7 @@ def jobs_table(jobs: DataFrame, job_stages: DataFrame, stages: DataFrame) -> Dat
         "num_tasks",
         F.coalesce("_skipped", F.lit(0).cast("bigint")).alias("skipped_stages"),
         "name",
-    )
+    ).orderBy("app_id", "job_id")
 
 
 def compare_long(summary: DataFrame, metrics: list[str] | None = None) -> DataFrame:

@@ -1,9 +1,8 @@
 """Window operators: top-n per group, rolling means and running totals.
 
 A window with no PARTITION BY sends every row to one task.  The ``*_single``
-functions keep that plain form for inputs whose size is bounded by the
-calendar (one row per day) and as the equality oracle; the unsuffixed
-functions are the distributed forms:
+functions keep that plain form only as the equality oracle of the tests;
+registered queries use the distributed forms:
 
 1. range-partition the rows on the full (tie-broken) order, sort inside each
    partition and stamp each row with ``monotonically_increasing_id`` (partition
