@@ -36,6 +36,9 @@ def _wanted(value) -> F.Column:
     return cond
 
 
+LINES_SCHEMA = "value string, epoch bigint, app_id string"
+
+
 class RunMetricsRefresh:
     """Keeps ``<out>/summary`` and ``<out>/skew`` up to date from logs landing in ``log_glob``."""
 
@@ -65,7 +68,8 @@ class RunMetricsRefresh:
             .parquet(f"{self.out}/lines")
         )
         touched = batch.select("app_id").distinct()
-        stored = spark.read.parquet(f"{self.out}/lines").select("app_id", "value")
+        # explicit schema: partition values are not type-inferred (an all-digit app id stays a string)
+        stored = spark.read.schema(LINES_SCHEMA).parquet(f"{self.out}/lines").select("app_id", "value")
         lines = stored.join(touched, "app_id", "left_semi")
         t = EventLog.from_lines(spark, lines).tables()
         summary = runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], self.digits)
