@@ -27,6 +27,9 @@ RULES = clean.FIXTURE_RULES
 # Fixture fares are order-line prices (up to ~100k), so the "looks wrong" fare is higher.
 FIXTURE_MAX_FARE = 100_000
 SKEW_KEYS = ["payment_method", "pickup_date"]
+LAYOUT_PARTITIONS = 16
+# Keys without a SQL oracle (the driver checks their row counts only).
+ROWS_ONLY = {"layout_partition_rows"}
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +102,10 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["route_daily"] = lambda s, d: routes.route_daily(trips(s, d))
     q["route_rollup"] = lambda s, d: routes.route_rollup(trips(s, d), zones(s, d))
     q["layout_skew"] = lambda s, d: layout.layout_skew(trips(s, d), SKEW_KEYS)
+    # Spark's hash layout itself (Murmur3 partition ids): no SQL engine reproduces it, so no oracle.
+    q["layout_partition_rows"] = lambda s, d: layout.rows_per_partition(
+        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "payment_method")
+    )
     q["quality_report"] = lambda s, d: quality.quality_report(trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE))
     q["quality_quarantine"] = lambda s, d: quality.quality_quarantine(
         trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE)
