@@ -11,12 +11,15 @@ reports ordered output; ties get an explicit tie-break.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import functions as fx
+from fleetlens.session import cached
 
 
 def scan_count(df: DataFrame) -> DataFrame:
@@ -147,3 +150,18 @@ def top_keys(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 def distinct_key_count(df: DataFrame, key: str, out: str = "keys") -> DataFrame:
     """Number of distinct keys, NULL counted as one (unlike ``count(distinct)``)."""
     return key_counts(df, key).agg(F.count("*").alias(out))
+
+
+@contextlib.contextmanager
+def key_count_report(df: DataFrame, key: str, n: int = 5) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(number of distinct keys, top ``n`` keys) answered from one shuffled aggregate.
+
+    The per-key counts are computed once and persisted for the block, so the
+    second answer reads the cached aggregate instead of re-scanning and
+    re-shuffling the input; the cache is released when the block ends.
+    """
+    with cached(key_counts(df, key)) as counts:
+        yield (
+            counts.agg(F.count("*").alias("keys")),
+            counts.orderBy(F.desc("count"), F.asc_nulls_first(key)).limit(n),
+        )

@@ -79,3 +79,13 @@ def test_distinct_collapses_equal_trips(raw_trips):
     t = _trips(raw_trips)
     # dup_a / dup_b are one trip; null_payment / zero_payment look equal too (both "other")
     assert agg.distinct_trips(t).count() == t.count() - 2
+
+
+def test_key_count_report_reuses_one_aggregate(spark, raw_trips):
+    from fleetlens.plans.inspect import plan_text
+
+    t = _trips(raw_trips)
+    with agg.key_count_report(t, "pu_location_id", 2) as (distinct, top):
+        assert distinct.first().keys == agg.distinct_key_count(t, "pu_location_id").first().keys
+        assert top.collect() == agg.top_keys(t, "pu_location_id", 2).collect()
+        assert "InMemoryTableScan" in plan_text(top, "simple")
