@@ -113,8 +113,16 @@ def _e(name: str) -> Column:
 class EventLog:
     """Tables over the event logs under ``path`` (a directory searched recursively, or a glob)."""
 
-    def __init__(self, spark: SparkSession, path: str | list[str], lines: DataFrame | None = None):
+    def __init__(
+        self, spark: SparkSession, path: str | list[str], lines: DataFrame | None = None,
+        events: DataFrame | None = None,
+    ):
         self.spark = spark
+        self.path = path
+        if events is not None:
+            self.lines = lines
+            self.events = events
+            return
         if lines is None:
             paths = [path] if isinstance(path, str) else list(path)
             lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
@@ -131,6 +139,18 @@ class EventLog:
         """Build from a DataFrame of (app_id, value) lines, e.g. a stream's micro-batch."""
         return cls(spark, [], lines=lines)
 
+    def staged(self) -> EventLog:
+        """The same log with its parsed events written once as Parquet (checkpoint dir).
+
+        Without staging every table re-reads and re-parses the text; staged,
+        the JSON is parsed once and each table reads only the nested columns
+        it needs from the columnar copy.
+        """
+        from fleetlens.sources.staging import staged
+
+        key = f"eventlog:{self.path!r}"
+        return EventLog(self.spark, self.path, lines=self.lines, events=staged(self.spark, key, lambda: self.events))
+
     def _kind(self, kind: str) -> DataFrame:
         return self.events.filter(_e("Event") == PREFIX + kind)
 

@@ -190,3 +190,16 @@ def test_incremental_refresh_equals_batch(spark, scratch):
     cols = batch.columns
     assert sorted(refresh2.summary().select(*cols).collect()) == sorted(batch.collect())
     assert [(r.app_id, r.stage_id) for r in refresh2.skew().collect()] == [("app-bad", 1)]
+
+
+def test_staged_event_log_gives_the_same_tables(spark, scratch):
+    root = write_event_logs(os.path.join(scratch, "logs"))
+    raw = EventLog(spark, root)
+    staged = raw.staged()
+    for name, df in raw.tables().items():
+        other = staged.tables()[name]
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, other.select(*df.columns).collect())), name
+    from fleetlens.plans.inspect import plan_text
+
+    text = plan_text(staged.tasks(), "simple")
+    assert "FileScan parquet" in text and "FileScan text" not in text
