@@ -11,9 +11,9 @@ unchanged on them:
 
 Money columns are exact decimals built from the two-decimal inputs, so sums
 and means do not depend on the order in which partitions are combined.
-All joins are plain equi-joins with no hints: Spark's size check
-(``autoBroadcastJoinThreshold``) and AQE pick broadcast for small sides and
-sort-merge for large ones, which is what the same code needs at 100 TB.
+Joins broadcast a side only behind a row-count check
+(:func:`fleetlens.operators.joins.broadcast_if_small`) and otherwise sort-merge;
+the fact side is never a broadcast candidate.
 """
 
 from __future__ import annotations
@@ -84,10 +84,19 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # Orders meet customers first (an order-sized join), so when no side is small enough
     # to broadcast the lineitem-sized rows are shuffled twice (order key, supplier key)
-    # instead of three times.
-    order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    joined = li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        supplier, F.col("l_suppkey") == F.col("s_suppkey")
+    # instead of three times.  A side is broadcast only behind a row-count check; the
+    # fact side carries a merge hint so Spark's file-size estimate (compressed bytes
+    # on disk) can never make it the broadcast side.
+    from fleetlens.operators.joins import broadcast_if_small
+
+    order_nation = orders.hint("merge").join(
+        broadcast_if_small(customer), F.col("o_custkey") == F.col("c_custkey")
+    )
+    joined = (
+        li.hint("merge")
+        .join(broadcast_if_small(order_nation), F.col("l_orderkey") == F.col("o_orderkey"))
+        .hint("merge")
+        .join(broadcast_if_small(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     # Exact money in compact decimals (precision <= 18 stays a long inside Spark):
     # prices are below 10^7 and discount / tax below 1, so every product fits.
