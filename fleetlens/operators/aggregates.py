@@ -133,8 +133,13 @@ def with_route(trips: DataFrame) -> DataFrame:
 
 
 def distinct_trips(trips: DataFrame) -> DataFrame:
-    """Distinct trips on (route, pickup, dropoff, date, payment, distance)."""
-    return with_route(trips).select(*ROUTE_COLUMNS).distinct()
+    """Distinct trips on (route, pickup, dropoff, date, payment, distance).
+
+    The route is a function of the pickup and dropoff ids, so the distinct
+    shuffles the five base columns and the key is added afterwards.
+    """
+    base = [c for c in ROUTE_COLUMNS if c != "route"]
+    return with_route(trips.select(*base).distinct()).select(*ROUTE_COLUMNS)
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:

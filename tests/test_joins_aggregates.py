@@ -89,3 +89,16 @@ def test_key_count_report_reuses_one_aggregate(spark, raw_trips):
         assert distinct.first().keys == agg.distinct_key_count(t, "pu_location_id").first().keys
         assert top.collect() == agg.top_keys(t, "pu_location_id", 2).collect()
         assert "InMemoryTableScan" in plan_text(top, "simple")
+
+
+def test_distinct_trips_with_null_ids_matches_distinct_on_all_six_columns(spark):
+    import datetime as dt
+
+    d = dt.date(2024, 1, 1)
+    rows = [(None, 5, d, "card", 1.0), (None, 5, d, "card", 1.0), (None, 6, d, "card", 1.0), (4, None, d, "cash", 2.0)]
+    df = spark.createDataFrame(
+        rows, "pu_location_id int, do_location_id int, pickup_date date, payment_method string, trip_distance double"
+    )
+    got = sorted(map(tuple, agg.distinct_trips(df).collect()), key=repr)
+    want = sorted(map(tuple, agg.with_route(df).select(*agg.ROUTE_COLUMNS).distinct().collect()), key=repr)
+    assert got == want and len(got) == 3
