@@ -20,18 +20,25 @@ BROADCAST_MAX_ROWS = 1_000_000
 _CHECKED: dict[tuple[str, int, int], bool] = {}
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows.  Its answer is remembered
-    per application and query plan (``semanticHash``), so a dimension used by
-    many queries is counted once (inputs are not rewritten while an
-    application runs).
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1`` per split).
+
+    Meant for scans and projections of them: no column is read, and no
+    shuffle runs.  (On a join it would run the join; bound a join through its
+    inputs instead, e.g. a many-to-one join has at most as many rows as its
+    many side.)  The answer is remembered per application and query plan
+    (``semanticHash``), so a dimension used by many queries is counted once;
+    inputs are not rewritten while an application runs.
     """
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if _CHECKED[key] else dim
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(dim)`` when :func:`is_small` proves it has at most ``max_rows`` rows, else ``dim``."""
+    return F.broadcast(dim) if is_small(dim, max_rows) else dim
 
 
 def zone_role(zones: DataFrame, prefix: str) -> DataFrame:

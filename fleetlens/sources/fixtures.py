@@ -87,14 +87,18 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # instead of three times.  A side is broadcast only behind a row-count check; the
     # fact side carries a merge hint so Spark's file-size estimate (compressed bytes
     # on disk) can never make it the broadcast side.
-    from fleetlens.operators.joins import broadcast_if_small
+    from fleetlens.operators.joins import broadcast_if_small, is_small
 
     order_nation = orders.hint("merge").join(
         broadcast_if_small(customer), F.col("o_custkey") == F.col("c_custkey")
     )
+    # many orders to one customer: the join has at most as many rows as ``orders``, so the
+    # bound is proven on the orders scan (checking the join itself would run it)
+    if is_small(orders):
+        order_nation = F.broadcast(order_nation)
     joined = (
         li.hint("merge")
-        .join(broadcast_if_small(order_nation), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
         .hint("merge")
         .join(broadcast_if_small(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -121,9 +125,12 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup (LocationID, Borough, Zone): nations as zones, regions as boroughs."""
+    from fleetlens.operators.joins import broadcast_if_small
+
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    # a narrow (broadcast) join, so the size checks on the zone view never run a shuffle
+    return nation.join(broadcast_if_small(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),
