@@ -54,12 +54,6 @@ def running_total_single(df: DataFrame, order: list, value: str, out: str = "run
     return df.withColumn(out, F.sum(value).over(w))
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _sort_key(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -68,12 +62,16 @@ def range_indexed(df: DataFrame, order: list, partitions: int | None = None) ->
     """``df`` range-partitioned and sorted on ``order``, with ``_part`` and ``_pos`` columns.
 
     ``_part`` is the range partition, ``_pos`` the 0-based position inside it.
-    The result is checkpointed to the shared checkpoint directory.
+    Without ``partitions`` the count comes from AQE (the shuffle-partition
+    setting, coalesced to the advisory size by merging adjacent, so still
+    contiguous, ranges).  The result is checkpointed to the shared checkpoint
+    directory.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keys = [_sort_key(c) for c in order]
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     stamped = (
-        df.repartitionByRange(_partitions(df, partitions), *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)

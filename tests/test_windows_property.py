@@ -10,7 +10,7 @@ from fleetlens.operators import windows
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.integers(min_value=-1000, max_value=1000), min_size=1, max_size=120),
-    partitions=st.integers(min_value=1, max_value=12),
+    partitions=st.one_of(st.none(), st.integers(min_value=1, max_value=12)),
     frame=st.integers(min_value=1, max_value=9),
     block=st.one_of(st.none(), st.integers(min_value=1, max_value=40)),
     dup=st.integers(min_value=1, max_value=5),
