@@ -59,3 +59,15 @@ def test_hash_layout_sorts_within_partitions(raw_trips):
     for part in out.select("pickup_ts", "trip_distance").rdd.glom().collect():
         keys = [(r.pickup_ts, r.trip_distance) for r in part]
         assert keys == sorted(keys)
+
+
+def test_failing_udf_and_builtin_check_both_fail_the_job(spark, raw_trips):
+    from fleetlens.functions.udfs import fragile_udf
+
+    t = _trips(raw_trips)
+    with pytest.raises(PySparkException) as udf_err:
+        t.select(fragile_udf(900)("fare_amount")).distinct().collect()
+    assert "above 900" in str(udf_err.value)
+    with pytest.raises(PySparkException):
+        quality.fail_on(t, F.col("fare_amount") > 900, "fare above 900").select("check").distinct().collect()
+    assert t.count() == 11  # the session goes on
