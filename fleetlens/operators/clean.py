@@ -121,5 +121,8 @@ def clean_reconcile(raw: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame
 
 
 def write_clean(clean: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with the cleaned trips, one directory per pickup month."""
-    clean.write.mode("overwrite").partitionBy("pickup_month").parquet(path)
+    """Overwrite ``path`` with the cleaned trips, one directory per pickup month (see
+    :func:`fleetlens.sources.trips.write_partitioned`)."""
+    from fleetlens.sources.trips import write_partitioned
+
+    write_partitioned(clean, path, "pickup_month")

@@ -44,7 +44,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_partitioned(df: DataFrame, path: str, column: str = "pickup_month") -> None:
     """Overwrite ``path`` with ``df``, one directory per value of ``column``.
 
-    Static overwrite: the whole directory is replaced, so months that
-    vanished from the input vanish from the output too.
+    The ``rebalance`` hint lets AQE hash rows by ``column`` while splitting
+    oversized partitions and merging small ones, so each directory gets files
+    of about the advisory size: no task writes a file for every month it
+    happens to see, and a month holding a third of the rows is written by many
+    tasks, not one.  Static overwrite: the whole directory is replaced, so
+    months that vanished from the input vanish from the output too.
     """
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
