@@ -300,4 +300,7 @@ class EventLog:
 def dump_tables(tables: dict[str, DataFrame], out_dir: str) -> None:
     """Write each table as JSON under ``out_dir/<table>/app_id=<id>/`` (raw per-app dump)."""
     for name, df in tables.items():
-        df.write.mode("overwrite").partitionBy("app_id").json(f"{out_dir.rstrip('/')}/{name}")
+        # rebalance: files per app follow the app's size (a huge app is split over many tasks)
+        df.hint("rebalance", "app_id").write.mode("overwrite").partitionBy("app_id").json(
+            f"{out_dir.rstrip('/')}/{name}"
+        )

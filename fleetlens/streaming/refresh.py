@@ -62,6 +62,7 @@ class RunMetricsRefresh:
         spark = batch.sparkSession
         (
             batch.withColumn("epoch", F.lit(epoch_id))
+            .hint("rebalance", "app_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("epoch", "app_id")
