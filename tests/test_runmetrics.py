@@ -203,3 +203,15 @@ def test_staged_event_log_gives_the_same_tables(spark, scratch):
 
     text = plan_text(staged.tasks(), "simple")
     assert "FileScan parquet" in text and "FileScan text" not in text
+
+
+def test_analyze_a_log_directory_end_to_end(spark, scratch):
+    from fleetlens.plans.runlog import analyze
+
+    root = write_event_logs(os.path.join(scratch, "logs"))
+    out = analyze(spark, root, dump_dir=os.path.join(scratch, "dump"), baseline_app_id="app-good")
+    assert [r.app for r in out["summary"].collect()] == ["bad", "good", "idle"]  # listed by name
+    assert [(r.app, r.stage_id) for r in out["skew"].collect()] == [("bad", 1)]
+    assert out["skipped"].count() == 1 and out["jobs"].count() == 3
+    assert out["compare"].count() == 21 and out["ratios"].count() == 3
+    assert os.path.isdir(os.path.join(scratch, "dump", "tasks"))
