@@ -72,3 +72,19 @@ def test_source_filter_reaches_the_parquet_scan(spark, raw_trips, scratch):
     # only the columns the filter and the projection need are read
     read = [ln for ln in text.splitlines() if "ReadSchema" in ln][0]
     assert "VendorID" not in read and "tip_amount" not in read
+
+
+def test_trip_jobs_end_to_end_on_taxi_shaped_files(spark, raw_trips, zones, scratch):
+    from conftest import KEPT
+    from fleetlens.plans import trip_reports
+
+    raw = raw_trips.drop("label")
+    raw.write.parquet(f"{scratch}/yellow_tripdata_2024-01.parquet")
+    raw.write.parquet(f"{scratch}/yellow_tripdata_2024-02.parquet")
+    rec = trip_reports.ingest(spark, f"{scratch}/yellow_tripdata_2024-*.parquet", f"{scratch}/clean").first()
+    assert (rec.rows_in, rec.rows_kept) == (2 * raw.count(), 2 * len(KEPT))
+    out = trip_reports.reports(spark, f"{scratch}/clean", zones)
+    assert sum(r.trips for r in out["daily_totals"].collect()) == 2 * len(KEPT)
+    assert out["payment_mix"].columns[1:] == ["card", "cash", "no charge", "dispute", "other"]
+    for name, df in out.items():
+        df.write.format("noop").mode("overwrite").save()  # every report runs
