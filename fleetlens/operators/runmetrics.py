@@ -135,7 +135,9 @@ def app_summary(apps: DataFrame, jobs: DataFrame, stages: DataFrame, digits: int
         )
     )
     if digits is not None:
-        out = out.withColumns({m: fx.half_up(m, digits) for m in ["duration_s", "input_MB", "shuffle_write_MB", "gc_s"]})
+        # counts stay whole numbers; every other compared metric is rounded
+        rounded = [m for m in fx.COMPARE_METRICS if m not in fx.COUNT_METRICS]
+        out = out.withColumns({m: fx.half_up(m, digits) for m in rounded})
     return out.orderBy("app", "app_id")
 
 
