@@ -215,3 +215,26 @@ def test_analyze_a_log_directory_end_to_end(spark, scratch):
     assert out["skipped"].count() == 1 and out["jobs"].count() == 3
     assert out["compare"].count() == 21 and out["ratios"].count() == 3
     assert os.path.isdir(os.path.join(scratch, "dump", "tasks"))
+
+
+def test_quantile_and_skew_on_empty_tasks(spark):
+    empty = spark.createDataFrame([], "app_id string, stage_id bigint, stage_attempt int, run_ms bigint, successful boolean")
+    assert rm.group_quantile(empty, ["app_id", "stage_id", "stage_attempt"], "run_ms", 0.5, "m").count() == 0
+    stages = spark.createDataFrame(
+        [("a", 1, 0, "COMPLETE", 8, "n", None)],
+        "app_id string, stage_id bigint, stage_attempt int, status string, num_tasks bigint, name string, description string",
+    )
+    assert rm.stage_skew(stages, empty).count() == 0
+
+
+def test_log_with_only_an_app_start(spark, scratch):
+    import json
+
+    root = os.path.join(scratch, "logs")
+    os.makedirs(root)
+    with open(os.path.join(root, "local-1"), "w") as f:
+        f.write(json.dumps({"Event": "SparkListenerApplicationStart", "App Name": "x", "App ID": "local-1",
+                            "Timestamp": 1, "User": "u"}, separators=(",", ":")) + "\n")
+    t = EventLog(spark, root).tables()
+    summary = rm.app_summary(t["apps"], t["jobs"], t["stages"]).collect()
+    assert len(summary) == 1 and summary[0].jobs == 0 and summary[0].duration_s is None  # still running

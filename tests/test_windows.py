@@ -72,3 +72,12 @@ def test_distributed_forms_have_no_single_task_row_window(spark):
         # SinglePartition exchange carries the per-partition totals (at most 4 rows)
         assert "Exchange hashpartitioning(_part" in text or "Exchange hashpartitioning(_block" in text
         assert text.count("Exchange SinglePartition") <= 1
+
+
+def test_distributed_windows_on_empty_and_single_row_inputs(spark):
+    empty = spark.createDataFrame([], "k int, v bigint")
+    assert windows.running_total(empty, [F.asc("k")], "v").count() == 0
+    assert windows.rolling_mean(empty, ["k"], "v", "m", 7, 0).count() == 0
+    one = spark.createDataFrame([(1, 5)], "k int, v bigint")
+    assert [r.running_total for r in windows.running_total(one, [F.asc("k")], "v").collect()] == [5]
+    assert [r.m for r in windows.rolling_mean(one, ["k"], "v", "m", 7, 1).collect()] == [5.0]
