@@ -21,10 +21,14 @@ def hash_layout(df: DataFrame, n: int, key: str, sort_by: list[str] | None = Non
     return out.sortWithinPartitions(*sort_by) if sort_by else out
 
 
-def rows_per_partition(df: DataFrame) -> DataFrame:
-    """Rows in each partition of ``df`` (``partition``, ``rows``), empty partitions included as 0."""
+def rows_per_partition(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows in each of the ``n`` partitions of ``df`` (``partition``, ``rows``), empty ones as 0.
+
+    Pass ``n`` when it is known (e.g. the count given to :func:`hash_layout`);
+    otherwise it is read from the DataFrame's current partitioning.
+    """
     spark = df.sparkSession
-    n = df.rdd.getNumPartitions()
+    n = n if n is not None else df.rdd.getNumPartitions()
     counts = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
     every = spark.range(n).select(F.col("id").cast("int").alias("partition"))
     return (

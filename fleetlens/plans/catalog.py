@@ -104,7 +104,7 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["layout_skew"] = lambda s, d: layout.layout_skew(trips(s, d), SKEW_KEYS)
     # Spark's hash layout itself (Murmur3 partition ids): no SQL engine reproduces it, so no oracle.
     q["layout_partition_rows"] = lambda s, d: layout.rows_per_partition(
-        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "payment_method")
+        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "payment_method"), LAYOUT_PARTITIONS
     )
     q["quality_report"] = lambda s, d: quality.quality_report(trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE))
     q["quality_quarantine"] = lambda s, d: quality.quality_quarantine(
