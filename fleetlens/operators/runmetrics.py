@@ -96,11 +96,15 @@ def latest_attempts(apps: DataFrame) -> DataFrame:
     return apps.groupBy("app_id").agg(latest).select("app_id", "a.*")
 
 
-def app_summary(apps: DataFrame, jobs: DataFrame, stages: DataFrame, digits: int | None = None) -> DataFrame:
+def app_summary(
+    apps: DataFrame, jobs: DataFrame, stages: DataFrame, digits: int | None = None, ordered: bool = True
+) -> DataFrame:
     """Per app: wall time, jobs (failed), stages, tasks, MB read, MB shuffle-written, GC seconds.
 
     Skipped stages did no work and are left out.  With ``digits`` the
-    non-count metrics are rounded half up to that many decimals.
+    non-count metrics are rounded half up to that many decimals.  ``ordered``
+    lists apps by name (as the report does); turn it off when the summary
+    only feeds another operator, to spare the sort.
     """
     job_counts = jobs.groupBy("app_id").agg(
         F.count("*").alias("jobs"), F.count_if(F.col("status") == "FAILED").alias("failed_jobs")
@@ -138,7 +142,7 @@ def app_summary(apps: DataFrame, jobs: DataFrame, stages: DataFrame, digits: int
         # counts stay whole numbers; every other compared metric is rounded
         rounded = [m for m in fx.COMPARE_METRICS if m not in fx.COUNT_METRICS]
         out = out.withColumns({m: fx.half_up(m, digits) for m in rounded})
-    return out.orderBy("app", "app_id")
+    return out.orderBy("app", "app_id") if ordered else out
 
 
 def app_detail(summary: DataFrame, apps: DataFrame, app_id: str | None = None) -> DataFrame:

@@ -130,9 +130,9 @@ def order_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fix.order_run_tables(spark, sf_dir, lines)
 
 
-def _event_summary(spark: SparkSession, sf_dir: str, digits: int | None = 1) -> DataFrame:
+def _event_summary(spark: SparkSession, sf_dir: str, digits: int | None = 1, ordered: bool = True) -> DataFrame:
     t = event_run(spark, sf_dir)
-    return runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], digits)
+    return runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], digits, ordered)
 
 
 def run_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -163,8 +163,10 @@ def run_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_stage_timeline": timeline,
         "run_jobs_table": jobs_table,
         "run_skipped_stages": skipped,
-        "run_compare_long": lambda s, d: runmetrics.compare_long(_event_summary(s, d, None)),
-        "run_compare_ratio": lambda s, d: runmetrics.compare_ratio(_event_summary(s, d, None), COMPARE_BASELINE),
+        "run_compare_long": lambda s, d: runmetrics.compare_long(_event_summary(s, d, None, ordered=False)),
+        "run_compare_ratio": lambda s, d: runmetrics.compare_ratio(
+            _event_summary(s, d, None, ordered=False), COMPARE_BASELINE
+        ),
     }
 
 

@@ -36,7 +36,7 @@ def analyze(
     if dump_dir:
         dump_tables(t, dump_dir)
     summary = rm.app_summary(t["apps"], t["jobs"], t["stages"], digits=1)
-    raw_summary = rm.app_summary(t["apps"], t["jobs"], t["stages"])
+    raw_summary = rm.app_summary(t["apps"], t["jobs"], t["stages"], ordered=False)
     out = {
         "summary": summary,
         "skew": rm.stage_skew(t["stages"], t["tasks"], t["apps"]),
