@@ -154,7 +154,8 @@ def app_detail(summary: DataFrame, apps: DataFrame, app_id: str | None = None) -
         F.timestamp_millis("start_ms").cast("timestamp_ntz").alias("start_time"),
     )
     out = summary.join(attrs, "app_id")
-    return out.filter(F.col("app_id") == app_id) if app_id is not None else out
+    out = out.filter(F.col("app_id") == app_id) if app_id is not None else out
+    return out.orderBy("app", "app_id")
 
 
 def stage_skew(
