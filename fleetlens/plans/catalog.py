@@ -34,7 +34,8 @@ ROWS_ONLY = {"layout_partition_rows"}
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched trip view, staged once per application (see :mod:`fleetlens.sources.staging`)."""
-    return staged(spark, f"trips:{sf_dir}", lambda: clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES))
+    key = f"trips:{sf_dir.rstrip('/')}"
+    return staged(spark, key, lambda: clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,14 +120,14 @@ COMPARE_BASELINE = "click"
 def event_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """apps / jobs / stages / tasks over ``events``; the task table is staged once per application
     (as a parsed event log would be), the per-stage and per-app tables are derived from it."""
-    tasks = staged(spark, f"event_tasks:{sf_dir}", lambda: fix.event_tasks(spark, sf_dir))
+    tasks = staged(spark, f"event_tasks:{sf_dir.rstrip('/')}", lambda: fix.event_tasks(spark, sf_dir))
     return fix.event_run_tables(spark, sf_dir, tasks)
 
 
 def order_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """jobs / job_stages / stages over ``orders`` and ``lineitem``; the per-order lineitem
     aggregate is staged once per application."""
-    lines = staged(spark, f"order_lines:{sf_dir}", lambda: fix.order_lines(spark, sf_dir))
+    lines = staged(spark, f"order_lines:{sf_dir.rstrip('/')}", lambda: fix.order_lines(spark, sf_dir))
     return fix.order_run_tables(spark, sf_dir, lines)
 
 
