@@ -12,19 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Workspace
+from fleetlens.llm.common import BROADCAST_BYTES, Workspace
 
 MAX_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     """edges (u, v).  Large: neighbours above u move to u's smallest neighbour; small: u and those below do."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = both.join(least, "u")
+    joined = both.join(F.broadcast(least) if few else least, "u")
     moved = joined.where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
@@ -35,14 +35,16 @@ def components(edges: DataFrame, work: Workspace, label: str = "cc") -> DataFram
     """(node, component) of every node of ``edges`` (columns a, b); component is the smallest node reachable."""
     current = work.save(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), f"{label}-0")
     state = None
+    edges_now = current.count()
     for i in range(1, MAX_ROUNDS + 1):
-        nxt = work.save(_star(_star(current, True), False), f"{label}-{i}")
+        few = 2 * edges_now * 24 <= BROADCAST_BYTES  # a star step keeps at most its edges and their ends
+        nxt = work.save(_star(_star(current, True, few), False, few), f"{label}-{i}")
         total = nxt.agg(
             F.count("*").alias("n"),
             F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h"),
         ).first()
         work.drop(f"{label}-{i - 1}")
-        current = nxt
+        current, edges_now = nxt, total["n"]
         if (total["n"], total["h"]) == state:
             break
         state = (total["n"], total["h"])

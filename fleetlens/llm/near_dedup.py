@@ -6,23 +6,27 @@ Steps, each written to the shared folder:
    with equal sets form one class and go on as one representative, so copies
    cost nothing further.
 2. Representatives get ``BANDS * ROWS`` MinHash values; each band of ROWS
-   values is a bucket key.
-3. Rounds over the buckets.  A round picks hubs in every bucket that still
+   values is a bucket key.  Only those that share a bucket go on.
+3. A candidate's core is its set less the shingles no other candidate has.  An
+   intersection is within both cores, so sizes and cores alone rule out most
+   pairs of texts that were changed in different places.
+4. Rounds over the buckets.  A round picks hubs in every bucket that still
    holds more than one component and pairs them with the members of other
-   components: one hub first, then more.  A hub that has met everyone retires.
-   A bucket is done when one component is left or all its members were hubs,
-   so every pair of a bucket is either tested or already in one component,
-   while a bucket of mutual copies costs one pair per member, not all pairs.
-4. Pairs compare their MinHash values batch by batch.  With a uniform prior
+   components that cores allow: first the member nearest to being all core
+   (the original of a group of changed copies), then more.  A hub that has met
+   everyone retires.  A bucket is done when one component is left or all its
+   members were hubs, so every pair of a bucket is tested, ruled out or already
+   in one component, while a group of mutual copies costs a pair per member.
+5. Pairs compare their MinHash values batch by batch.  With a uniform prior
    and m agreements of n, the posterior chance of a similarity of at least the
    threshold is a binomial tail; a pair is dropped when it falls below ``miss``.
-5. Survivors are confirmed on their full sets; components follow from the
+6. Survivors are confirmed on their full sets; components follow from the
    confirmed links.
 
 What banding can miss: a pair at the threshold shares no band with probability
-(1 - 0.85**8)**24 = 0.0005, less at higher similarity.  Texts that are alike in
-part but mutually not linked are the costly case: they stay in different
-components and all pairs that share a bucket are tested.
+(1 - 0.85**8)**24 = 0.0005, less at higher similarity.  The costly case is texts
+that share most of their shingles pairwise and yet are not linked: they stay in
+different components and all pairs that share a bucket are compared.
 
 Defined cases: a text with fewer words than a shingle is one shingle; NULL or
 wordless texts have an empty set and are linked with nothing, not even each
@@ -52,8 +56,9 @@ ROWS = 8
 BATCH = 32  # MinHash values compared before each decision
 MISS = 1e-6  # posterior chance below which a pair is dropped
 FIRST_HUBS = 1
-NEXT_HUBS = 32
-MAX_ROUNDS = 40
+NEXT_HUBS = 256
+MORE_HUBS = 16  # from then on so many times as many each round
+MAX_ROUNDS = 20
 
 
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
@@ -142,21 +147,23 @@ def _sketch(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(rows, "doc_id long, n_shingles long, class_hash binary, signature binary")
 
 
-def _bucket_keys(signatures: DataFrame) -> DataFrame:
-    """(bucket, node), one row per band: the bucket key hashes the band's number and its MinHash values."""
+def _bucket_keys(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, cls, n), one row per band: the bucket key hashes the band's number and its MinHash values."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            bands = _matrix(batch.column(1)).astype(np.uint64).reshape(n, BANDS, ROWS)
+            bands = _matrix(batch.column(0)).astype(np.uint64).reshape(n, BANDS, ROWS)
             keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
             for i in range(ROWS):
                 keys = (keys ^ bands[:, :, i]) * np.uint64(0xD6E8FEB86659FD93)
                 keys ^= keys >> np.uint64(32)
-            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(nodes)], names=["bucket", "node"])
+            rest = [pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), BANDS)) for i in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.reshape(-1).view(np.int64)), *rest], names=["bucket", "node", "cls", "n"]
+            )
 
-    return signatures.mapInArrow(rows, "bucket long, node long")
+    return nodes.select("signature", "node", "cls", "n").mapInArrow(rows, "bucket long, node long, cls long, n long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -176,13 +183,24 @@ def _prune(pairs: DataFrame, threshold: float, miss: float) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(rows, "a long, b long")
 
 
-def _sets(texts: DataFrame, size: int) -> DataFrame:
+def _candidates(texts: DataFrame, size: int) -> DataFrame:
+    """(node, cls, found, signature) of (doc_id, text)."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "found"])
+            found = [shingles(t, size) for t in batch.column(1).to_pylist()]
+            classes = [xxhash.xxh64(xxhash.xxh128_digest(f.tobytes()), seed=42).intdigest() for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(np.array(classes, np.uint64).view(np.int64)),  # as xxhash64 of class_hash in SQL
+                    pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
+                    pa.array([minhash(f, BANDS * ROWS).astype("<u4").tobytes() for f in found], pa.binary()),
+                ],
+                names=["node", "cls", "found", "signature"],
+            )
 
-    return texts.mapInArrow(rows, "doc_id long, found binary")
+    return texts.mapInArrow(rows, "node long, cls long, found array<long>, signature binary")
 
 
 def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
@@ -193,42 +211,49 @@ def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
         for batch in batches:
             stay = []
             for i in range(batch.num_rows):
-                a = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
-                b = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
-                both = len(a) + len(b) - len(np.union1d(a, b))
-                if den * both >= num * (len(a) + len(b) - both):
+                a, b = (batch.column(c)[i].values.to_numpy() for c in (2, 3))
+                union = len(np.union1d(a, b))
+                if den * (len(a) + len(b) - union) >= num * union:
                     stay.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(stay, pa.int64())) for i in (0, 1)], names=["a", "b"])
 
     return pairs.select("a", "b", "fa", "fb").mapInArrow(rows, "a long, b long")
 
 
-def _hub_pairs(members: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of this round's hubs with members of other components, and the members that are not yet hubs.
+def _hub_pairs(members: DataFrame, hubs: int, link: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of this round's hubs with members of other components, and the (bucket, cls) of the hubs.
 
-    ``members``: (bucket, node, component, retired), with retired members kept
-    because later hubs must not meet them again but they still count as met.
-    The hubs of a bucket are its ``hubs`` smallest waiting nodes, found by a
-    partial aggregate (a bounded array per task and bucket).
+    ``members``: (bucket, node, cls, n, core, component, retired).  The hubs of
+    a bucket are its ``hubs`` waiting members with the smallest share outside
+    the core, found with partial results: the best of each of 64 salts first,
+    so that no group of any size is ranked in one task.
     """
-    waiting = members.where("not retired")
+    num, den = link
+    waiting = members.where("not retired").select(
+        "bucket", ((F.col("n") - F.col("core")) / F.col("n")).alias("outside"), "node", "cls", "n", "core", "component"
+    )
     if hubs == 1:
-        picked = waiting.groupBy("bucket").agg(F.min(F.struct("node", "component")).alias("h"))
-        picked = picked.select("bucket", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
+        best = F.min(F.struct("outside", "node", "cls", "n", "core", "component")).alias("h")
+        picked = waiting.groupBy("bucket").agg(best).select("bucket", "h.*")
     else:
-        salted = waiting.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(64)))
-        # smallest of each salt first, so that no group of any size is ranked in one task
-        by_salt = _smallest(salted, ["bucket", "salt"], hubs)
-        picked = _smallest(by_salt, ["bucket"], hubs)
-        picked = picked.select("bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    met = members.join(picked, "bucket").where("component <> hub_component and node <> hub")
+        salted = waiting.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
+        picked = _smallest(_smallest(salted, ["bucket", "salt"], hubs), ["bucket"], hubs)
+    picked = picked.select(
+        "bucket",
+        F.col("node").alias("hub"),
+        F.col("cls").alias("hub_cls"),
+        F.col("n").alias("hub_n"),
+        F.col("core").alias("hub_core"),
+        F.col("component").alias("hub_component"),
+    )
+    possible = (num + den) * F.least("core", "hub_core") >= num * (F.col("n") + F.col("hub_n"))
+    met = members.join(picked, "bucket").where((F.col("component") != F.col("hub_component")) & possible)
     pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    flag = picked.select("bucket", F.col("hub").alias("node"), F.lit(True).alias("was_hub"))
-    return pairs, flag
+    return pairs, picked.select("bucket", F.col("hub_cls").alias("cls"), F.lit(True).alias("was_hub"))
 
 
 def _smallest(members: DataFrame, keys: list[str], n: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("node"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("outside", "node", "cls"))
     return members.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
 
 
@@ -241,64 +266,85 @@ def near_duplicates(
     miss: float = MISS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    work = Workspace(spark, "near-dedup")
-    threshold = link[0] / link[1]
+    work = Workspace(docs.sparkSession, "near-dedup")
+    num, den = link
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     sketches = work.save(_sketch(texts, size), "sketches")
-    classes = work.save(
-        sketches.where("class_hash is not null and doc_id is not null")
-        .groupBy("class_hash")
-        .agg(F.min("doc_id").alias("node")),
-        "classes",
+    classes = sketches.where("class_hash is not null and doc_id is not null").groupBy("class_hash")
+    nodes = work.save(
+        classes.agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r")).select(
+            "class_hash",
+            F.xxhash64("class_hash").alias("cls"),
+            F.col("r.doc_id").alias("node"),
+            F.col("r.n_shingles").alias("n"),
+            "r.signature",
+        ),
+        "nodes",
     )
-    nodes = sketches.select(F.col("doc_id").alias("node"), "class_hash", "signature").join(classes, ["node", "class_hash"])
-    signatures = work.save(nodes.select("node", "signature"), "signatures")
 
-    keys = work.save(_bucket_keys(signatures), "keys")
+    keys = work.save(_bucket_keys(nodes), "keys")
     shared = keys.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
+    sharing = work.save(keys.join(shared, "bucket"), "sharing")
+    work.drop("keys")
+    needed = small_side(work.save(sharing.select(F.col("node").alias("doc_id")).distinct(), "needed"), 16)
+    candidates = work.save(_candidates(texts.join(needed, "doc_id", "left_semi"), size), "candidates")
+    alone = (
+        candidates.select("cls", F.explode("found").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("cls").alias("cls"), F.max("cls").alias("other"))
+        .where("cls = other")
+        .groupBy("cls")
+        .agg(F.count("*").alias("alone"))
+    )
+    cores = small_side(work.save(alone, "alone"), 24)
     members = work.save(
-        keys.join(shared, "bucket").select("bucket", "node", F.col("node").alias("component"), F.lit(False).alias("retired")),
+        sharing.join(cores, "cls", "left")
+        .select(
+            "bucket",
+            "node",
+            "cls",
+            "n",
+            (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core"),
+            F.col("node").alias("component"),
+            F.lit(False).alias("retired"),
+        )
+        .where(den * F.col("core") >= num * F.col("n")),  # else no set is near enough to it
         "members-0",
     )
-    work.drop("keys")
+    work.drop("sharing")
 
-    tested = None
-    links = None
+    signatures = candidates.select("node", "signature")
+    sets = candidates.select("node", "found")
+    tested = links = joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
-        pairs, flag = _hub_pairs(members, hubs)
+        pairs, was_hub = _hub_pairs(members, hubs, link)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = work.save(pairs, f"pairs-{i}")
-        with_a = pairs.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-        with_b = with_a.join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-        alive = work.save(_prune(with_b, threshold, miss), f"alive-{i}")
-        needed = work.save(alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"needed-{i}")
-        chosen = texts.join(small_side(needed, 16), "doc_id", "left_semi")
-        sets = work.save(_sets(chosen, size), f"sets-{i}")
-        pair_sets = alive.join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("fa")), "a").join(
-            sets.select(F.col("doc_id").alias("b"), F.col("found").alias("fb")), "b"
-        )
-        found = work.save(_confirm(pair_sets, link).distinct(), f"links-{i}")
-        work.drop(f"sets-{i}", f"needed-{i}", f"alive-{i}")
+        compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
+        alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
+        both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
+        found = work.save(_confirm(both, link).distinct(), f"links-{i}")
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        joined = work.save(
-            components(links, work, f"cc-{i}").withColumnRenamed("component", "joined"), f"components-{i}"
-        )
+        joined = work.save(components(links, work, f"cc-{i}").toDF("node", "joined"), f"components-{i}")
 
         # buckets left: more than one component, and at least one member that has not been a hub
         marked = (
-            members.join(joined, "node", "left")
-            .join(flag, ["bucket", "node"], "left")
+            members.join(small_side(joined, 24), "node", "left")
+            .join(was_hub, ["bucket", "cls"], "left")
             .select(
                 "bucket",
                 "node",
+                "cls",
+                "n",
+                "core",
                 F.coalesce("joined", "node").alias("component"),
                 (F.col("retired") | F.coalesce("was_hub", F.lit(False))).alias("retired"),
             )
         )
+        marked = work.save(marked, f"marked-{i}")
         open_ = (
             marked.groupBy("bucket")
             .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count_if(~F.col("retired")).alias("waiting"))
@@ -306,15 +352,15 @@ def near_duplicates(
             .select("bucket")
         )
         members = work.save(marked.join(open_, "bucket", "left_semi"), f"members-{i}")
-        work.drop(f"members-{i - 1}")
+        work.drop(f"alive-{i}", f"marked-{i}", f"members-{i - 1}")
         if members.isEmpty():
             break
-        hubs = NEXT_HUBS if hubs == FIRST_HUBS else hubs * 4
+        hubs = NEXT_HUBS if hubs == FIRST_HUBS else hubs * MORE_HUBS
     else:
         raise RuntimeError(f"buckets were still open after {MAX_ROUNDS} rounds")
 
     # a document's component: of its class's representative, through the class
-    of_class = classes.join(joined, "node", "left").select(
+    of_class = nodes.join(small_side(joined, 24), "node", "left").select(
         "class_hash", F.coalesce("joined", "node").alias("component_id")
     )
     return (
