@@ -319,9 +319,9 @@ def near_duplicates(
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
         pairs, was_hub = _hub_pairs(members, hubs, link)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = work.save(pairs, f"pairs-{i}")
+        if tested is not None:  # the written pairs: else the anti join runs before duplicates are gone
+            pairs = work.save(pairs.join(tested, ["a", "b"], "left_anti"), f"new-pairs-{i}")
         compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
         alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
         both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
@@ -363,13 +363,11 @@ def near_duplicates(
     of_class = nodes.join(small_side(joined, 24), "node", "left").select(
         "class_hash", F.coalesce("joined", "node").alias("component_id")
     )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
         sketches.select("doc_id", "n_shingles", "class_hash")
         .join(of_class, "class_hash", "left")
         .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
+            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
         )
     )
