@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from brute import SF, brute_components, brute_exact, brute_hits
+
 from fleetlens.llm import packing, queries
-from tests.llm.test_llm import SF, brute_components, brute_exact, brute_hits
 
 
 def test_pipeline_keeps_what_brute_force_keeps(spark):
