@@ -48,7 +48,7 @@ def group_quantile(
     values are ordered.  ``count_col`` / ``max_col`` also return the group's
     size and largest value, which fall out of the bucket pass for free.
     """
-    hist = df.groupBy(*keys, value).agg(F.count("*").alias("_c")).withColumn("_b", _log_bucket(F.col(value)))
+    hist = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")).withColumn("_b", _log_bucket(F.col(value)))
     buckets = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"), F.max(value).alias("_bmax"))
     group = Window.partitionBy(*keys)
     before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,7 +178,12 @@ def stage_skew(
     if app_id is not None:
         eligible = eligible.filter(F.col("app_id") == app_id)
         tasks = tasks.filter(F.col("app_id") == app_id)
-    ok = tasks.filter(F.col("successful"))
+    # few stages reach the floor: one partial maximum names them before any value is counted
+    slow = eligible.join(
+        tasks.filter(F.col("successful")).groupBy(*STAGE_KEY).agg(F.max("run_ms").alias("_max")).where(F.col("_max") >= min_max_ms),
+        STAGE_KEY,
+    ).select(*STAGE_KEY)
+    ok = tasks.filter(F.col("successful")).join(slow, STAGE_KEY, "left_semi")
     quantiles = group_quantile(ok, STAGE_KEY, "run_ms", 0.5, "median_ms", max_col="max_ms")
     flagged = (
         eligible.join(quantiles, STAGE_KEY)
@@ -229,8 +234,15 @@ def stage_timeline(apps: DataFrame, stages: DataFrame, app_id: str | None = None
     )
 
 
-def skipped_stages(job_stages: DataFrame, stages: DataFrame) -> DataFrame:
-    """(app_id, job_id, stage_id) of stages a job listed but that were never submitted."""
+def skipped_stages(job_stages: DataFrame, stages: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
+    """(app_id, job_id, stage_id) of stages a job listed but that were never submitted.
+
+    With ``jobs``, only jobs that have ended count: a running job's stages may
+    still be submitted.
+    """
+    if jobs is not None:
+        ended = jobs.where("status <> 'RUNNING'").select("app_id", "job_id")
+        job_stages = job_stages.join(ended, ["app_id", "job_id"], "left_semi")
     submitted = stages.select("app_id", "stage_id").distinct()
     return job_stages.select("app_id", "job_id", "stage_id").join(submitted, ["app_id", "stage_id"], "left_anti")
 
@@ -246,7 +258,7 @@ def job_status_label(status: str | Column) -> Column:
 
 def jobs_table(jobs: DataFrame, job_stages: DataFrame, stages: DataFrame) -> DataFrame:
     """Per job: id, description, display status, duration (s), tasks, skipped stages, call site."""
-    skipped = skipped_stages(job_stages, stages).groupBy("app_id", "job_id").agg(F.count("*").alias("_skipped"))
+    skipped = skipped_stages(job_stages, stages, jobs).groupBy("app_id", "job_id").agg(F.count("*").alias("_skipped"))
     return jobs.join(skipped, ["app_id", "job_id"], "left").select(
         "app_id",
         "job_id",
@@ -278,15 +290,14 @@ RATIO_METRICS = {
 def compare_ratio(summary: DataFrame, baseline_app_id: str) -> DataFrame:
     """Each app's metrics divided by the baseline app's (NULL where the baseline is 0 or missing).
 
-    The baseline is one row of the summary; it is fetched once (a bounded,
-    one-row read) and applied as literals, so the division is a narrow
-    per-row projection: no join, no cross product, no single-task window.
+    The baseline is one aggregated row, joined on its app id.
     """
-    base = summary.filter(F.col("app_id") == baseline_app_id).select(*RATIO_METRICS).limit(1).collect()
-    values = base[0].asDict() if base else {m: None for m in RATIO_METRICS}
-    cols = [
-        F.try_divide(F.col(m).cast("double"), F.lit(values[m]).cast("double")).alias(r)
-        for m, r in RATIO_METRICS.items()
-    ]
-    return summary.select("app_id", "app", F.lit(baseline_app_id).alias("baseline"), *cols)
+    base = (
+        summary.filter(F.col("app_id") == baseline_app_id)
+        .groupBy(F.col("app_id").alias("baseline"))
+        .agg(*(F.max(F.col(m).cast("double")).alias(f"_{m}") for m in RATIO_METRICS))
+    )
+    cols = [F.try_divide(F.col(m).cast("double"), F.col(f"_{m}")).alias(r) for m, r in RATIO_METRICS.items()]
+    named = summary.withColumn("baseline", F.lit(baseline_app_id))
+    return named.join(base, "baseline", "left").select("app_id", "app", "baseline", *cols)
 

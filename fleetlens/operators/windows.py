@@ -93,7 +93,7 @@ def _partition_offsets(indexed: DataFrame, value: str | None) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     cols = {"_row_offset": F.coalesce(F.sum("_rows").over(before), F.lit(0))}
     if value is not None:
-        cols["_sum_offset"] = F.coalesce(F.sum("_sum").over(before), F.lit(0))
+        cols["_sum_offset"] = F.sum("_sum").over(before)  # NULL while no value came before
     cols["_all_rows"] = F.sum("_rows").over(Window.partitionBy())
     cols["_parts"] = F.count("*").over(Window.partitionBy())
     return totals.withColumns(cols).drop("_rows", "_sum")
@@ -108,8 +108,10 @@ def running_total(
     local = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         indexed.join(offsets, "_part")
-        .withColumn(out, F.sum(value).over(local) + F.col("_sum_offset"))
-        .drop("_part", "_pos", "_sum_offset")
+        .withColumn("_local", F.sum(value).over(local))
+        # either side is NULL while it has seen no value, as in one window over everything
+        .withColumn(out, F.coalesce(F.col("_local") + F.col("_sum_offset"), "_local", "_sum_offset"))
+        .drop("_part", "_pos", "_sum_offset", "_local")
     )
 
 

@@ -9,7 +9,7 @@ from fleetlens.operators import windows
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    values=st.lists(st.integers(min_value=-1000, max_value=1000), min_size=1, max_size=120),
+    values=st.lists(st.one_of(st.none(), st.integers(min_value=-1000, max_value=1000)), min_size=1, max_size=120),
     partitions=st.one_of(st.none(), st.integers(min_value=1, max_value=12)),
     frame=st.integers(min_value=1, max_value=9),
     block=st.one_of(st.none(), st.integers(min_value=1, max_value=40)),
@@ -37,7 +37,9 @@ def test_distributed_windows_equal_plain_windows(spark, values, partitions, fram
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     groups=st.lists(
-        st.lists(st.integers(min_value=-10**9, max_value=10**9), min_size=1, max_size=40), min_size=1, max_size=6
+        st.lists(st.one_of(st.none(), st.integers(min_value=-10**9, max_value=10**9)), min_size=1, max_size=40),
+        min_size=1,
+        max_size=6,
     ),
     q=st.sampled_from([0.0, 0.1, 0.5, 0.75, 1.0]),
     dup=st.integers(min_value=1, max_value=3),
@@ -50,6 +52,8 @@ def test_group_quantile_equals_sorted_index(spark, groups, q, dup):
     got = {r.g: (r.x, r.n, r.mx) for r in group_quantile(df, ["g"], "v", q, "x", "n", "mx").collect()}
     want = {}
     for g, vals in enumerate(groups):
-        vs = sorted(v for v in vals for _ in range(dup))
+        vs = sorted(v for v in vals if v is not None for _ in range(dup))
+        if not vs:
+            continue
         want[g] = (vs[min(int(q * len(vs)), len(vs) - 1)], len(vs), vs[-1])
     assert got == want
