@@ -99,6 +99,7 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+UNREAD = r"\.(lz4|lzf|snappy)(\.inprogress)?$"
 _COMPRESSION = r"(\.(zstd|zst|lz4|lzf|snappy|gz))?"
 
 
@@ -109,6 +110,17 @@ def app_id_from_path(path: Column) -> Column:
     return F.when(rolled != "", rolled).otherwise(single)
 
 
+def is_wanted(value: Column) -> Column:
+    """Whether a line is an event of a kind the tables need, however it is spaced."""
+    return value.rlike(rf'^\s*\{{\s*"Event"\s*:\s*"{PREFIX.replace(".", "[.]")}({"|".join(KINDS)})"')
+
+
+def refuse_unread(path: Column) -> Column:
+    """True, or an error naming a log compressed with a codec the text reader cannot open."""
+    message = F.concat(F.lit("event log with an unsupported codec: "), path)
+    return F.when(path.rlike(UNREAD), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def _e(name: str) -> Column:
     return F.col("e").getField(name)
 
@@ -128,14 +140,15 @@ class EventLog:
             return
         if lines is None:
             paths = [path] if isinstance(path, str) else list(path)
-            lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
-                app_id_from_path(F.col("_metadata.file_path")).alias("app_id"), "value"
+            path_col = F.col("_metadata.file_path")
+            lines = (
+                spark.read.option("recursiveFileLookup", "true")
+                .text(paths)
+                .where(refuse_unread(path_col))
+                .select(app_id_from_path(path_col).alias("app_id"), "value")
             )
         self.lines = lines
-        wanted = F.lit(False)
-        for kind in KINDS:
-            wanted = wanted | F.col("value").startswith(f'{{"Event":"{PREFIX}{kind}"')
-        self.events = lines.filter(wanted).select("app_id", F.from_json("value", EVENT_SCHEMA).alias("e"))
+        self.events = lines.filter(is_wanted(F.col("value"))).select("app_id", F.from_json("value", EVENT_SCHEMA).alias("e"))
 
     @classmethod
     def from_lines(cls, spark: SparkSession, lines: DataFrame) -> EventLog:

@@ -26,16 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.operators import runmetrics
-from fleetlens.sources.eventlog import KINDS, PREFIX, EventLog, app_id_from_path
-
-
-def _wanted(value) -> F.Column:
-    cond = F.lit(False)
-    for kind in KINDS:
-        cond = cond | value.startswith(f'{{"Event":"{PREFIX}{kind}"')
-    return cond
+from fleetlens.sources.eventlog import EventLog, app_id_from_path, is_wanted
 
 
+MAX_FILES = 1000
 LINES_SCHEMA = "value string, epoch bigint, app_id string"
 
 
@@ -52,14 +46,16 @@ class RunMetricsRefresh:
         path = F.col("_metadata.file_path")
         lines = (
             self.spark.readStream.format("text")
+            .option("maxFilesPerTrigger", MAX_FILES)
             .load(self.log_glob)
             .filter(~path.endswith(".inprogress"))
             .select(app_id_from_path(path).alias("app_id"), "value")
         )
-        return lines.filter(_wanted(F.col("value")))
+        return lines.filter(is_wanted(F.col("value")))
 
     def process_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()
         (
             batch.withColumn("epoch", F.lit(epoch_id))
             .hint("rebalance", "app_id")
@@ -68,13 +64,20 @@ class RunMetricsRefresh:
             .partitionBy("epoch", "app_id")
             .parquet(f"{self.out}/lines")
         )
-        touched = batch.select("app_id").distinct()
+        # one id per new file at most (maxFilesPerTrigger), so the stored lines are read by partition filter
+        touched = [r["app_id"] for r in batch.select("app_id").distinct().collect()]
+        if not touched:
+            return
         # explicit schema: partition values are not type-inferred (an all-digit app id stays a string)
         stored = spark.read.schema(LINES_SCHEMA).parquet(f"{self.out}/lines").select("app_id", "value")
-        lines = stored.join(touched, "app_id", "left_semi")
-        t = EventLog.from_lines(spark, lines).tables()
+        lines = stored.where(F.col("app_id").isin(touched))
+        parsed = EventLog.from_lines(spark, lines).events.persist()
+        t = EventLog(spark, [], lines=lines, events=parsed).tables()
         summary = runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], self.digits)
         skew = runmetrics.stage_skew(t["stages"], t["tasks"], t["apps"])
+        # an app without a skewed stage gets a row without one, which replaces what it had before
+        ids = spark.createDataFrame([(a,) for a in touched], "app_id string")
+        skew = ids.join(skew, "app_id", "left")
         for name, df in (("summary", summary), ("skew", skew)):
             (
                 df.write.mode("overwrite")
@@ -82,6 +85,8 @@ class RunMetricsRefresh:
                 .partitionBy("app_id")
                 .parquet(f"{self.out}/{name}")
             )
+        parsed.unpersist()
+        batch.unpersist()
 
     def start(self, checkpoint: str, available_now: bool = False, interval: str = "5 seconds") -> StreamingQuery:
         writer = self.stream().writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
@@ -92,4 +97,4 @@ class RunMetricsRefresh:
         return self.spark.read.parquet(f"{self.out}/summary")
 
     def skew(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.out}/skew")
+        return self.spark.read.parquet(f"{self.out}/skew").where("stage_id is not null")
