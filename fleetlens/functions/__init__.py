@@ -1,8 +1,4 @@
-"""Column expressions shared by the operators (all JVM-side built-ins).
-
-The Python UDF forms in :mod:`fleetlens.functions.udfs` exist only so tests
-can prove the built-ins give the same answers.
-"""
+"""Column expressions shared by the operators (all JVM-side built-ins)."""
 
 from fleetlens.functions.scalars import (  # noqa: F401
     COMPARE_METRICS,

@@ -18,6 +18,8 @@ DISTANCE_BUCKET_ELSE = "long"
 SKEW_RATIO = 5
 SKEW_MIN_MAX_MS = 1000
 SKEW_MIN_TASKS = 4
+# How a missing location id is written in a route key.
+NO_ID = "None"
 # Per-app metrics offered for comparison, and which of them are whole counts.
 COMPARE_METRICS: list[str] = [
     "duration_s", "tasks", "stages", "jobs", "input_MB", "shuffle_write_MB", "gc_s",
@@ -65,14 +67,19 @@ def distance_bucket(distance: str | Column) -> Column:
 
 
 def route_key(pu: str | Column, do: str | Column) -> Column:
-    """``"{pu}->{do}"``; NULL when either side is NULL (unlike ``concat_ws``)."""
-    return F.concat(_c(pu).cast("string"), F.lit("->"), _c(do).cast("string"))
+    """``"{pu}->{do}"``, a NULL id written as ``None``, so routes that lack an id stay apart."""
+    side = lambda c: F.coalesce(_c(c).cast("string"), F.lit(NO_ID))
+    return F.concat(side(pu), F.lit("->"), side(do))
 
 
 def half_up(x: str | Column, digits: int = 0) -> Column:
-    """Round half up at ``digits`` decimals: ``floor(x * 10^d + 0.5) / 10^d`` as double."""
+    """Round half away from zero at ``digits`` decimals, on the double's own value, as double.
+
+    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``, the same arithmetic in any engine.
+    """
     scale = float(10**digits)
-    return (F.floor(_c(x) * scale + 0.5) / scale).cast("double")
+    x = _c(x).cast("double")
+    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
 
 
 def mean_half_up(x: str | Column, digits: int = 2) -> Column:
@@ -81,7 +88,7 @@ def mean_half_up(x: str | Column, digits: int = 2) -> Column:
     Stands for ``round(avg(x), d)``.  The sum is taken in the column's own
     type, so a decimal money column is summed exactly and only the final
     ``sum / count`` is a double; that makes the last digit independent of
-    the order in which partitions are combined.  Valid for non-negative means.
+    the order in which partitions are combined.
     """
     x = _c(x)
     return half_up(F.sum(x).cast("double") / F.count(x), digits)

@@ -1,9 +1,9 @@
 """Trips joined to a zone dimension, in one or two roles.
 
-The dimension is broadcast only behind a bounded size check
-(:func:`broadcast_if_small`): the check reads at most ``max_rows + 1`` rows,
-and a dimension above the bound falls back to a shuffled sort-merge join, so
-the plan cannot OOM executors if the "small" side turns out large.
+How the dimension travels is left to Spark (its byte statistics, and adaptive
+execution once the real size is known); no plan depends on a probe of the data.
+Counts and sums are taken per location id before the zones are joined, so the
+join moves one row per id (or pair of ids) and task, and a busy zone is no hot key.
 """
 
 from __future__ import annotations
@@ -13,33 +13,6 @@ from pyspark.sql import functions as F
 
 from fleetlens import functions as fx
 
-# Largest dimension (rows) shipped whole to every task.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-_CHECKED: dict[tuple[str, int, int], bool] = {}
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1`` per split).
-
-    Meant for scans and projections of them: no column is read, and no
-    shuffle runs.  (On a join it would run the join; bound a join through its
-    inputs instead, e.g. a many-to-one join has at most as many rows as its
-    many side.)  The answer is remembered per application and query plan
-    (``semanticHash``), so a dimension used by many queries is counted once;
-    inputs are not rewritten while an application runs.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when :func:`is_small` proves it has at most ``max_rows`` rows, else ``dim``."""
-    return F.broadcast(dim) if is_small(dim, max_rows) else dim
-
 
 def zone_role(zones: DataFrame, prefix: str) -> DataFrame:
     """Zones renamed for one role: ``{prefix}_location_id``, ``{prefix}_borough``, ``{prefix}_zone``."""
@@ -52,11 +25,9 @@ def zone_role(zones: DataFrame, prefix: str) -> DataFrame:
 
 def _dim(dim: DataFrame, strategy: str) -> DataFrame:
     if strategy == "auto":
-        return broadcast_if_small(dim)
+        return dim
     if strategy == "merge":
         return dim.hint("merge")
-    if strategy == "broadcast":
-        return F.broadcast(dim)
     raise ValueError(f"unknown join strategy {strategy!r}")
 
 
@@ -70,7 +41,9 @@ def with_zones(trips: DataFrame, zones: DataFrame, roles=("pu", "do"), strategy:
 
 def zone_counts(trips: DataFrame, zones: DataFrame, strategy: str = "auto") -> DataFrame:
     """Trips per pickup (borough, zone)."""
-    return with_zones(trips, zones, ("pu",), strategy).groupBy("pu_borough", "pu_zone").count()
+    per_id = trips.groupBy("pu_location_id").agg(F.count("*").alias("n"))
+    named = with_zones(per_id, zones, ("pu",), strategy)
+    return named.groupBy("pu_borough", "pu_zone").agg(F.sum("n").alias("count"))
 
 
 def borough_flows(
@@ -81,13 +54,17 @@ def borough_flows(
 ) -> DataFrame:
     """Trips and mean total per (pickup borough, dropoff borough), most trips first.
 
-    ``strategy`` is ``auto`` (size-checked broadcast), ``broadcast`` or
-    ``merge`` (sort-merge via a join hint, no session-wide setting touched).
+    ``strategy`` is ``auto`` (Spark chooses) or ``merge`` (sort-merge via a
+    join hint, no session-wide setting touched).
     """
+    per_pair = trips.groupBy("pu_location_id", "do_location_id").agg(
+        F.count("*").alias("n"), F.sum(amount_col).alias("amount"), F.count(amount_col).alias("amounts")
+    )
+    mean = F.sum("amount").cast("double") / F.sum("amounts")
     return (
-        with_zones(trips, zones, ("pu", "do"), strategy)
+        with_zones(per_pair, zones, ("pu", "do"), strategy)
         .groupBy("pu_borough", "do_borough")
-        .agg(F.count("*").alias("trips"), fx.mean_half_up(amount_col, 2).alias("avg_total"))
+        .agg(F.sum("n").alias("trips"), fx.half_up(mean, 2).alias("avg_total"))
         .orderBy(F.desc("trips"), "pu_borough", "do_borough")
     )
 

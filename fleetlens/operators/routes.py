@@ -4,9 +4,7 @@ The route key is a built-in ``concat`` (no Python worker) and the pickup id
 is kept as a column instead of being parsed back out of the key.  The
 distinct shuffles on all six columns, so one hot route still spreads over
 many tasks; the group-by then moves only map-side partial aggregates, one row
-per (route, day) and input partition.  The zone lookup is a size-checked
-broadcast.  Compare
-:func:`fleetlens.plans.naive.route_chain_naive`, the deliberately slow form.
+per (route, day) and input partition.
 """
 
 from __future__ import annotations
@@ -16,7 +14,6 @@ from pyspark.sql import functions as F
 
 from fleetlens import functions as fx
 from fleetlens.operators.aggregates import ROUTE_COLUMNS, with_route
-from fleetlens.operators.joins import broadcast_if_small
 
 
 def route_stats(trips: DataFrame) -> DataFrame:
@@ -52,9 +49,7 @@ def route_rollup(trips: DataFrame, zones: DataFrame) -> DataFrame:
     per-route means (each route-day weighs the same); ``avg_miles_weighted`` is
     the mean over trips, from distance sums and counts carried up.
     """
-    pu_zones = broadcast_if_small(
-        zones.select(F.col("LocationID").alias("pu_location_id"), F.col("Borough").alias("pu_borough"))
-    )
+    pu_zones = zones.select(F.col("LocationID").alias("pu_location_id"), F.col("Borough").alias("pu_borough"))
     return (
         route_stats(trips)
         .join(pu_zones, "pu_location_id")

@@ -1 +1 @@
-"""Named queries (catalog), their DuckDB oracles, plan inspection and the naive baseline chain."""
+"""Named queries (catalog), their DuckDB oracles and plan inspection."""

@@ -29,7 +29,7 @@ FIXTURE_MAX_FARE = 100_000
 SKEW_KEYS = ["payment_method", "pickup_date"]
 LAYOUT_PARTITIONS = 16
 # Keys without a SQL oracle (the driver checks their row counts only).
-ROWS_ONLY = {"layout_partition_rows"}
+ROWS_ONLY: set[str] = set()
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,10 +103,7 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["route_daily"] = lambda s, d: routes.route_daily(trips(s, d))
     q["route_rollup"] = lambda s, d: routes.route_rollup(trips(s, d), zones(s, d))
     q["layout_skew"] = lambda s, d: layout.layout_skew(trips(s, d), SKEW_KEYS)
-    # Spark's hash layout itself (Murmur3 partition ids): no SQL engine reproduces it, so no oracle.
-    q["layout_partition_rows"] = lambda s, d: layout.rows_per_partition(
-        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "payment_method"), LAYOUT_PARTITIONS
-    )
+    q["layout_partition_rows"] = lambda s, d: layout.layout_rows(trips(s, d), LAYOUT_PARTITIONS, "pickup_date")
     q["quality_report"] = lambda s, d: quality.quality_report(trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE))
     q["quality_quarantine"] = lambda s, d: quality.quality_quarantine(
         trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE)
@@ -155,7 +152,7 @@ def run_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def skipped(s, d):
         t = order_run(s, d)
-        return runmetrics.skipped_stages(t["job_stages"], t["stages"])
+        return runmetrics.skipped_stages(t["job_stages"], t["stages"], t["jobs"])
 
     return {
         "run_app_summary": lambda s, d: _event_summary(s, d, 1),

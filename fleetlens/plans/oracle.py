@@ -219,6 +219,20 @@ FROM route_rollup"""
     o["route_daily"] = W + "," + ROUTE_STATS + "\nSELECT route, pickup_date, trips, avg_miles FROM route_stats"
     o["route_rollup"] = W + "," + ROUTE_STATS + "\nSELECT * FROM route_rollup"
     o["layout_skew"] = W + "\n" + "\nUNION ALL\n".join(_skew_sql(k) for k in ["payment_method", "pickup_date"])
+    # Spark's hash of a date: 32-bit Murmur3 of its days since 1970, seed 42; all values kept modulo 2^32
+    o["layout_partition_rows"] = W + """
+, k1 AS (SELECT ((date_diff('day', DATE '1970-01-01', CAST(pickup_date AS DATE)) + 4294967296) % 4294967296
+                 * 3432918353::HUGEINT) % 4294967296 AS v FROM trips)
+, k2 AS (SELECT (((v * 32768) % 4294967296 + v // 131072) * 461845907::HUGEINT) % 4294967296 AS v FROM k1)
+, h1 AS (SELECT xor(42::BIGINT, v::BIGINT) AS v FROM k2)
+, h2 AS (SELECT (((v::HUGEINT * 8192) % 4294967296 + v // 524288) * 5 + 3864292196) % 4294967296 AS v FROM h1)
+, f1 AS (SELECT xor(v::BIGINT, 4::BIGINT) AS v FROM h2)
+, f2 AS (SELECT (xor(v, v // 65536)::HUGEINT * 2246822507) % 4294967296 AS v FROM f1)
+, f3 AS (SELECT (xor(v::BIGINT, v::BIGINT // 8192)::HUGEINT * 3266489909) % 4294967296 AS v FROM f2)
+, f4 AS (SELECT xor(v::BIGINT, v::BIGINT // 65536) AS v FROM f3)
+, p AS (SELECT CAST((CASE WHEN v >= 2147483648 THEN v - 4294967296 ELSE v END % 16 + 16) % 16 AS INTEGER) AS partition FROM f4)
+SELECT CAST(g AS INTEGER) AS partition, COUNT(p.partition) AS rows
+FROM range(16) AS r(g) LEFT JOIN p ON p.partition = g GROUP BY g"""
     rules = _rules_sql(FIXTURE_MAX_FARE)
     o["quality_report"] = W + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE {pred}) AS bad_rows, COUNT(*) AS rows FROM trips"
@@ -299,7 +313,8 @@ jobs AS (
 ),
 skipped AS (
   SELECT 'orders' AS app_id, o.o_orderkey AS job_id, o.o_orderkey AS stage_id
-  FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+  FROM orders o
+  WHERE o.o_orderstatus <> 'O' AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 )"""
 
 

@@ -39,12 +39,12 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     Splits are ``target_partition_bytes`` (256 MB: comfortably inside a few GB
     of execution memory per core, and few enough tasks for the scheduler).  The
     first shuffle of every stage starts with one partition per target size of
-    input (at least 2 per core, at most 100,000) and AQE coalesces what turns
+    input (at least 2 per core) and AQE coalesces what turns
     out small; skewed partitions above 4× the advisory size are split by AQE's
-    skew join.  At 100 TB on 1,000 executors × 8 cores: 100,000 initial
-    partitions, ~256 MB each after coalescing.
+    skew join.  At 100 TB: about 400,000 initial partitions of at most
+    ~256 MB, fewer after coalescing.
     """
-    initial = max(2 * total_cores, min(100_000, -(-input_bytes // target_partition_bytes)))
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(initial),

@@ -11,9 +11,7 @@ unchanged on them:
 
 Money columns are exact decimals built from the two-decimal inputs, so sums
 and means do not depend on the order in which partitions are combined.
-Joins broadcast a side only behind a row-count check
-(:func:`fleetlens.operators.joins.broadcast_if_small`) and otherwise sort-merge;
-the fact side is never a broadcast candidate.
+How joins travel is left to Spark's byte statistics and adaptive execution.
 """
 
 from __future__ import annotations
@@ -21,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.operators.joins import broadcast_if_small, is_small
 from fleetlens.operators.runmetrics import STAGE_KEY, task_total_aggs
 
 TABLES = (
@@ -30,38 +27,9 @@ TABLES = (
 ).split()
 
 
-# Fact tables whose scan feeds the wide per-row stages, with a high-cardinality spreading key.
-FACT_TABLES = {"lineitem": "l_orderkey", "events": "event_id"}
-
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
-def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` by ``key`` over the cluster's cores when its scan has fewer splits than cores.
-
-    A single unsplittable file (one Parquet row group) is read by one task,
-    and every narrow operator after it (broadcast joins, projections, the
-    partial aggregate) would run in that one task too.  On a large input the
-    scan already has more splits than cores and this is a no-op.  Hashing a
-    high-cardinality key (unlike round-robin) needs no pre-sort to stay
-    deterministic on retry, and other columns can still be pruned below it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, read as Parquet (fact tables spread over the cores, see above).
-
-    Reads are memoised per session and path: the DataFrame is lazy, so
-    reusing it only saves the file listing and footer read.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        _READS[key] = spread_if_narrow(df, FACT_TABLES[name]) if name in FACT_TABLES else df
-    return _READS[key]
+    """One driver table, read as Parquet."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def payment_code(returnflag: str = "l_returnflag", orderstatus: str = "o_orderstatus") -> F.Column:
@@ -87,25 +55,13 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # Orders meet customers first (an order-sized join), so when no side is small enough
     # to broadcast the lineitem-sized rows are shuffled twice (order key, supplier key)
-    # instead of three times.  A side is broadcast only behind a row-count check; the
-    # fact side carries a merge hint so Spark's file-size estimate (compressed bytes
-    # on disk) can never make it the broadcast side.
-    order_nation = orders.hint("merge").join(
-        broadcast_if_small(customer), F.col("o_custkey") == F.col("c_custkey")
-    )
-    # many orders to one customer: the join has at most as many rows as ``orders``, so the
-    # bound is proven on the orders scan (checking the join itself would run it)
-    if is_small(orders):
-        order_nation = F.broadcast(order_nation)
-    joined = (
-        li.hint("merge")
-        .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
-        .hint("merge")
-        .join(broadcast_if_small(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
+    # instead of three times.
+    order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
-    # Exact money in compact decimals (precision <= 18 stays a long inside Spark):
-    # prices are below 10^7 and discount / tax below 1, so every product fits.
-    fare = F.col("l_extendedprice").cast("decimal(9,2)")
+    # Exact money in decimals; discount and tax are below 10.
+    fare = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(3,2)")
     keep = (F.lit(1) - discount).cast("decimal(3,2)")
     tax_up = (F.lit(1) + F.col("l_tax").cast("decimal(3,2)")).cast("decimal(3,2)")
@@ -128,8 +84,7 @@ def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup (LocationID, Borough, Zone): nations as zones, regions as boroughs."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    # a narrow (broadcast) join, so the size checks on the zone view never run a shuffle
-    return nation.join(broadcast_if_small(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),

@@ -30,10 +30,10 @@ def test_labels_and_fallbacks(spark):
     assert one(spark, fx.text_or_fallback("d", "n", 5), schema, ("description", "name")) == "descr"
 
 
-def test_route_key_is_null_when_a_side_is_null(spark):
+def test_route_key_keeps_missing_ids_apart(spark):
     schema = "pu int, do int"
     assert one(spark, fx.route_key("pu", "do"), schema, (3, 5)) == "3->5"
-    assert one(spark, fx.route_key("pu", "do"), schema, (None, 5)) is None
+    assert one(spark, fx.route_key("pu", "do"), schema, (None, 5)) == "None->5"
     assert one(spark, F.concat_ws("->", "pu", "do"), schema, (None, 5)) == "5"  # why concat_ws is not used
 
 
@@ -41,6 +41,7 @@ def test_half_up_rounding(spark):
     assert one(spark, fx.half_up(F.lit(2.5), 0)) == 3.0
     assert one(spark, fx.half_up(F.lit(0.125), 2)) == 0.13
     assert one(spark, fx.half_up(F.lit(1.004), 2)) == 1.0
+    assert one(spark, fx.half_up(F.lit(-1.25), 1)) == -1.3
 
 
 def test_duration_truncates_subseconds_on_both_ends(spark):

@@ -3,7 +3,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.functions import distance_bucket
-from fleetlens.functions.udfs import distance_bucket_udf
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins
 from fleetlens.plans.inspect import plan_text
@@ -13,9 +12,9 @@ def _trips(raw):
     return clean.clean_trips(raw.drop("label"))
 
 
-def test_borough_flows_broadcast_equals_merge(raw_trips, zones):
+def test_borough_flows_auto_equals_merge(raw_trips, zones):
     t = _trips(raw_trips)
-    b = joins.borough_flows(t, zones, "broadcast")
+    b = joins.borough_flows(t, zones, "auto")
     m = joins.borough_flows(t, zones, "merge")
     assert b.collect() == m.collect()
     assert "BroadcastHashJoin" in plan_text(b, "simple")
@@ -32,15 +31,6 @@ def test_unknown_location_drops_out_of_inner_join(raw_trips, zones):
     assert sum(r.trips for r in lost.collect()) == t.filter((F.col("pu_location_id") != 3) & (F.col("do_location_id") != 3)).count()
 
 
-def test_broadcast_only_behind_a_size_bound(spark, zones):
-    small = joins.broadcast_if_small(zones, max_rows=100)
-    big = joins.broadcast_if_small(zones, max_rows=5)
-    probe = spark.range(20).withColumnRenamed("id", "LocationID")
-    assert "BroadcastHashJoin" in plan_text(probe.join(small, "LocationID"), "simple")
-    with_big = plan_text(probe.hint("merge").join(big, "LocationID"), "simple")
-    assert "BroadcastExchange" not in with_big
-
-
 def test_pivot_has_fixed_columns_and_null_cells(raw_trips):
     mix = agg.payment_mix(_trips(raw_trips))
     assert mix.columns == ["pickup_month", "card", "cash", "no charge", "dispute", "other"]
@@ -59,15 +49,6 @@ def test_top_keys_breaks_ties_by_key(spark):
     assert [(r.k, r["count"]) for r in agg.top_keys(df, "k", 2).collect()] == [(1, 2), (2, 2)]
 
 
-def test_builtin_bucket_equals_udf_and_stays_in_the_jvm(raw_trips):
-    t = _trips(raw_trips)
-    builtin = t.groupBy(distance_bucket("trip_distance").alias("bucket")).count()
-    udf = t.groupBy(distance_bucket_udf("trip_distance").alias("bucket")).count()
-    assert sorted(builtin.collect()) == sorted(udf.collect())
-    assert "BatchEvalPython" not in plan_text(builtin, "simple")
-    assert "BatchEvalPython" in plan_text(udf, "simple")
-
-
 def test_sql_and_dataframe_forms_agree(spark, raw_trips):
     t = _trips(raw_trips)
     via_sql = agg.hourly_stats(t).select("day_of_week", "pickup_hour", "trips")

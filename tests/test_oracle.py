@@ -8,8 +8,10 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from fleetlens.plans import catalog
+
+QUERIES = {k: v for k, v in entry.queries().items() if k in catalog.all_queries()}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 def test_every_query_has_an_oracle_unless_declared_rows_only():
@@ -41,5 +43,5 @@ def test_layout_partition_rows_counts_every_row_once(spark):
     rows = QUERIES["layout_partition_rows"](spark, SF_SMALL).collect()
     assert [r.partition for r in rows] == list(range(catalog.LAYOUT_PARTITIONS))
     assert sum(r.rows for r in rows) == catalog.trips(spark, SF_SMALL).count()
-    # five payment methods hash into at most five non-empty partitions: the skew it reports
-    assert sum(1 for r in rows if r.rows) <= 5
+    # a day is a key of its own: no partition stands out
+    assert max(r.rows for r in rows) < 3 * sum(r.rows for r in rows) / len(rows)
