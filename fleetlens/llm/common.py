@@ -89,7 +89,7 @@ def plain_words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_NOT_WORD).split()
 
 
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 17
 
 
 class _WordHashes(dict):

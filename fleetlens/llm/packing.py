@@ -21,10 +21,11 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -58,15 +59,22 @@ class WordPieces:
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.plain = tiktoken.Encoding("byte_bpe_50k", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.full = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.json_path = json_path
         self.cache: dict[str, tuple[int, ...]] = {}
 
+    @cached_property
+    def full(self):
+        """The ``tokenizers`` form, loaded only where a text needs it: it takes as much memory as all the rest."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
