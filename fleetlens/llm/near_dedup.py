@@ -10,13 +10,14 @@ Steps, each written to the shared folder:
 3. A candidate's core is its set less the shingles no other candidate has.  An
    intersection is within both cores, so sizes and cores alone rule out most
    pairs of texts that were changed in different places.
-4. Rounds over the buckets.  A round picks hubs in every bucket that still
-   holds more than one component and pairs them with the members of other
-   components that cores allow: first the member nearest to being all core
-   (the original of a group of changed copies), then more.  A hub that has met
-   everyone retires.  A bucket is done when one component is left or all its
-   members were hubs, so every pair of a bucket is tested, ruled out or already
-   in one component, while a group of mutual copies costs a pair per member.
+4. Rounds over the buckets.  Members of a bucket are ordered by their share
+   outside the core (the original of a group of changed copies comes first).
+   A round takes the first members of every bucket as hubs, one at first, then
+   more, pairs each with the members after it that are in other components and
+   that cores allow, and lets the hubs go.  A bucket is done when one component
+   is left in it.  Two members are paired only in the least bucket they share,
+   so every pair of a bucket is tested once, ruled out or already in one
+   component, while a group of mutual copies costs a pair per member.
 5. Pairs compare their MinHash values batch by batch.  With a uniform prior
    and m agreements of n, the posterior chance of a similarity of at least the
    threshold is a binomial tail; a pair is dropped when it falls below ``miss``.
@@ -221,35 +222,35 @@ def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame, hubs: int, link: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of this round's hubs with members of other components, and the (bucket, cls) of the hubs.
+    """Pairs (a < b) of this round's hubs with later members of other components, and the (bucket, node, cls) of the hubs.
 
-    ``members``: (bucket, node, cls, n, core, component, retired).  The hubs of
-    a bucket are its ``hubs`` waiting members with the smallest share outside
-    the core, found with partial results: the best of each of 64 salts first,
-    so that no group of any size is ranked in one task.
+    ``members``: (bucket, outside, node, cls, n, core, component, buckets),
+    ``buckets`` being all that a member shares with others, BANDS at most.  The
+    hubs of a bucket are the first ``hubs`` by (outside, node, cls), found with
+    partial results: the first of each of 64 salts, then the first of those, so
+    that no group of any size is ranked in one task.
     """
     num, den = link
-    waiting = members.where("not retired").select(
-        "bucket", ((F.col("n") - F.col("core")) / F.col("n")).alias("outside"), "node", "cls", "n", "core", "component"
-    )
     if hubs == 1:
-        best = F.min(F.struct("outside", "node", "cls", "n", "core", "component")).alias("h")
-        picked = waiting.groupBy("bucket").agg(best).select("bucket", "h.*")
+        first = F.min(F.struct("outside", "node", "cls", "n", "core", "component", "buckets")).alias("h")
+        picked = members.groupBy("bucket").agg(first).select("bucket", "h.*")
     else:
-        salted = waiting.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
+        salted = members.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
         picked = _smallest(_smallest(salted, ["bucket", "salt"], hubs), ["bucket"], hubs)
-    picked = picked.select(
-        "bucket",
-        F.col("node").alias("hub"),
-        F.col("cls").alias("hub_cls"),
-        F.col("n").alias("hub_n"),
-        F.col("core").alias("hub_core"),
-        F.col("component").alias("hub_component"),
-    )
+    hub = picked.select(*(F.col(c).alias(f"hub_{c}") for c in members.columns))
+    later = F.struct("outside", "node", "cls") > F.struct("hub_outside", "hub_node", "hub_cls")
     possible = (num + den) * F.least("core", "hub_core") >= num * (F.col("n") + F.col("hub_n"))
-    met = members.join(picked, "bucket").where((F.col("component") != F.col("hub_component")) & possible)
-    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    return pairs, picked.select("bucket", F.col("hub_cls").alias("cls"), F.lit(True).alias("was_hub"))
+    least_shared = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")
+    met = members.join(
+        hub,
+        (F.col("bucket") == F.col("hub_bucket"))
+        & later
+        & (F.col("component") != F.col("hub_component"))
+        & possible
+        & least_shared,
+    )
+    pairs = met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
+    return pairs, picked.select("bucket", "node", "cls")
 
 
 def _smallest(members: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -297,62 +298,55 @@ def near_duplicates(
         .agg(F.count("*").alias("alone"))
     )
     cores = small_side(work.save(alone, "alone"), 24)
-    members = work.save(
-        sharing.join(cores, "cls", "left")
+    outside = F.coalesce("alone", F.lit(0))
+    shares = (
+        sharing.groupBy("node", "cls", "n")
+        .agg(F.collect_set("bucket").alias("buckets"))
+        .join(cores, "cls", "left")
         .select(
-            "bucket",
+            (outside / F.col("n")).alias("outside"),
             "node",
             "cls",
             "n",
-            (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core"),
+            (F.col("n") - outside).alias("core"),
             F.col("node").alias("component"),
-            F.lit(False).alias("retired"),
+            "buckets",
         )
-        .where(den * F.col("core") >= num * F.col("n")),  # else no set is near enough to it
-        "members-0",
+        .where(den * F.col("core") >= num * F.col("n"))  # else no set is near enough to it
     )
+    members = work.save(shares.select(F.explode("buckets").alias("bucket"), "*"), "members-0")
     work.drop("sharing")
 
     signatures = candidates.select("node", "signature")
     sets = candidates.select("node", "found")
-    tested = links = joined = None
+    links = joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
-        pairs, was_hub = _hub_pairs(members, hubs, link)
+        pairs, were_hubs = _hub_pairs(members, hubs, link)
         pairs = work.save(pairs, f"pairs-{i}")
-        if tested is not None:  # the written pairs: else the anti join runs before duplicates are gone
-            pairs = work.save(pairs.join(tested, ["a", "b"], "left_anti"), f"new-pairs-{i}")
         compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
         alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
         both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
         found = work.save(_confirm(both, link).distinct(), f"links-{i}")
         links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
         joined = work.save(components(links, work, f"cc-{i}").toDF("node", "joined"), f"components-{i}")
 
-        # buckets left: more than one component, and at least one member that has not been a hub
+        # buckets left: those whose members that were no hubs are in more than one component
+        component = F.coalesce("joined", "component").alias("component")
         marked = (
-            members.join(small_side(joined, 24), "node", "left")
-            .join(was_hub, ["bucket", "cls"], "left")
-            .select(
-                "bucket",
-                "node",
-                "cls",
-                "n",
-                "core",
-                F.coalesce("joined", "node").alias("component"),
-                (F.col("retired") | F.coalesce("was_hub", F.lit(False))).alias("retired"),
-            )
+            members.join(were_hubs, ["bucket", "node", "cls"], "left_anti")
+            .join(small_side(joined, 24), "node", "left")
+            .select("bucket", "outside", "node", "cls", "n", "core", component, "buckets")
         )
         marked = work.save(marked, f"marked-{i}")
         open_ = (
             marked.groupBy("bucket")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count_if(~F.col("retired")).alias("waiting"))
-            .where("lo <> hi and waiting > 0")
+            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .where("lo <> hi")
             .select("bucket")
         )
         members = work.save(marked.join(open_, "bucket", "left_semi"), f"members-{i}")
-        work.drop(f"alive-{i}", f"marked-{i}", f"members-{i - 1}")
+        work.drop(f"alive-{i}", f"pairs-{i}", f"marked-{i}", f"members-{i - 1}")
         if members.isEmpty():
             break
         hubs = NEXT_HUBS if hubs == FIRST_HUBS else hubs * MORE_HUBS
