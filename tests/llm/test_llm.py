@@ -106,11 +106,27 @@ def test_pruning_bound_is_the_beta_posterior():
             assert (weight[grid >= 0.85].sum() / weight.sum() >= 1e-6) == kept
 
 
-def test_components_of_chains_and_stars(spark):
-    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
-    df = spark.createDataFrame(edges, "a long, b long")
-    got = {r.node: r.component for r in components.components(df, Workspace(spark, "test")).collect()}
-    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+@pytest.mark.parametrize("block", [components.BLOCK_EDGES, 5])
+def test_components_of_chains_and_stars(spark, block):
+    """Also in blocks of five edges, where rounds between tasks have to do the rest."""
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (3, 4)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    rows = components.components(df, Workspace(spark, "test"), block=block).collect()
+    assert len(rows) == 101
+    assert {r.node: r.component for r in rows} == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+    assert components.components(df.limit(0), Workspace(spark, "test"), block=block).count() == 0
+
+
+def test_smallest_reachable_of_random_graphs():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        u, v = rng.integers(0, 60, (2, 40))
+        least = {int(x): int(x) for x in (*u, *v)}
+        for _ in least:
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                least[a] = least[b] = min(least[a], least[b])
+        got = components.smallest_reachable(u, v)
+        assert dict(zip(*(x.tolist() for x in got), strict=True)) == least
 
 
 @pytest.mark.parametrize("narrow", [False, True])
