@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Workspace, small_side, space_words, word_hashes
+from fleetlens.llm.common import BROADCAST_BYTES, Workspace, small_side, space_words, word_hashes
 from fleetlens.llm.components import components
 
 WORDS = 5
@@ -60,6 +60,7 @@ FIRST_HUBS = 1
 NEXT_HUBS = 256
 MORE_HUBS = 16  # from then on so many times as many each round
 MAX_ROUNDS = 20
+HUB_BYTES = 64 + 8 * BANDS  # width of a hub's row
 
 
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
@@ -221,36 +222,44 @@ def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
     return pairs.select("a", "b", "fa", "fb").mapInArrow(rows, "a long, b long")
 
 
-def _hub_pairs(members: DataFrame, hubs: int, link: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of this round's hubs with later members of other components, and the (bucket, node, cls) of the hubs.
+def _hubs(members: DataFrame, hubs: int) -> DataFrame:
+    """The first ``hubs`` members of every bucket by (outside, node, cls).
 
     ``members``: (bucket, outside, node, cls, n, core, component, buckets),
-    ``buckets`` being all that a member shares with others, BANDS at most.  The
-    hubs of a bucket are the first ``hubs`` by (outside, node, cls), found with
-    partial results: the first of each of 64 salts, then the first of those, so
-    that no group of any size is ranked in one task.
+    ``buckets`` being all that a member shares with others, BANDS at most.  Hubs
+    are found with partial results: the first of each of 64 salts, then the first
+    of those, so that no group of any size is ranked in one task.
     """
-    num, den = link
     if hubs == 1:
         first = F.min(F.struct("outside", "node", "cls", "n", "core", "component", "buckets")).alias("h")
-        picked = members.groupBy("bucket").agg(first).select("bucket", "h.*")
-    else:
-        salted = members.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
-        picked = _smallest(_smallest(salted, ["bucket", "salt"], hubs), ["bucket"], hubs)
-    hub = picked.select(*(F.col(c).alias(f"hub_{c}") for c in members.columns))
+        return members.groupBy("bucket").agg(first).select("bucket", "h.*")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
+    return _smallest(_smallest(salted, ["bucket", "salt"], hubs).drop("salt"), ["bucket"], hubs)
+
+
+def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """Pairs (a < b) of the hubs with later members of other components."""
+    num, den = link
+    hub = hubs.select(*(F.col(c).alias(f"hub_{c}") for c in members.columns))
     later = F.struct("outside", "node", "cls") > F.struct("hub_outside", "hub_node", "hub_cls")
     possible = (num + den) * F.least("core", "hub_core") >= num * (F.col("n") + F.col("hub_n"))
     least_shared = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")
     met = members.join(
-        hub,
+        small_side(hub, HUB_BYTES),
         (F.col("bucket") == F.col("hub_bucket"))
         & later
         & (F.col("component") != F.col("hub_component"))
         & possible
         & least_shared,
     )
-    pairs = met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
-    return pairs, picked.select("bucket", "node", "cls")
+    return met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
+
+
+def _after_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The members that were no hubs: those after the last hub of their bucket."""
+    last = hubs.groupBy("bucket").agg(F.max(F.struct("outside", "node", "cls")).alias("last"))
+    after = members.join(small_side(last, 48), "bucket").where(F.struct("outside", "node", "cls") > F.col("last"))
+    return after.drop("last")
 
 
 def _smallest(members: DataFrame, keys: list[str], n: int) -> DataFrame:
@@ -317,24 +326,29 @@ def near_duplicates(
     members = work.save(shares.select(F.explode("buckets").alias("bucket"), "*"), "members-0")
     work.drop("sharing")
 
+    total = candidates.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("found")), F.lit(0)).alias("shingles")).first()
     signatures = candidates.select("node", "signature")
+    if total["n"] * (16 + 4 * BANDS * ROWS) <= BROADCAST_BYTES:
+        signatures = F.broadcast(signatures)
     sets = candidates.select("node", "found")
+    if 16 * total["n"] + 8 * total["shingles"] <= BROADCAST_BYTES:
+        sets = F.broadcast(sets)
     links = joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
-        pairs, were_hubs = _hub_pairs(members, hubs, link)
-        pairs = work.save(pairs, f"pairs-{i}")
+        picked = work.save(_hubs(members, hubs), f"hubs-{i}")
+        pairs = work.save(_hub_pairs(members, picked, link), f"pairs-{i}")
         compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
         alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
         both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
-        found = work.save(_confirm(both, link).distinct(), f"links-{i}")
+        found = work.save(_confirm(both, link), f"links-{i}")
         links = found if links is None else links.unionByName(found)
         joined = work.save(components(links, work, f"cc-{i}").toDF("node", "joined"), f"components-{i}")
 
         # buckets left: those whose members that were no hubs are in more than one component
         component = F.coalesce("joined", "component").alias("component")
         marked = (
-            members.join(were_hubs, ["bucket", "node", "cls"], "left_anti")
+            _after_hubs(members, picked)
             .join(small_side(joined, 24), "node", "left")
             .select("bucket", "outside", "node", "cls", "n", "core", component, "buckets")
         )
@@ -346,7 +360,7 @@ def near_duplicates(
             .select("bucket")
         )
         members = work.save(marked.join(open_, "bucket", "left_semi"), f"members-{i}")
-        work.drop(f"alive-{i}", f"pairs-{i}", f"marked-{i}", f"members-{i - 1}")
+        work.drop(f"alive-{i}", f"hubs-{i}", f"pairs-{i}", f"marked-{i}", f"members-{i - 1}")
         if members.isEmpty():
             break
         hubs = NEXT_HUBS if hubs == FIRST_HUBS else hubs * MORE_HUBS
