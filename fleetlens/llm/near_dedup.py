@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import BROADCAST_BYTES, Workspace, small_side, space_words, word_hashes
+from fleetlens.llm.common import Workspace, small_side, space_words, word_hashes
 from fleetlens.llm.components import components
 
 WORDS = 5
@@ -326,13 +326,8 @@ def near_duplicates(
     members = work.save(shares.select(F.explode("buckets").alias("bucket"), "*"), "members-0")
     work.drop("sharing")
 
-    total = candidates.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("found")), F.lit(0)).alias("shingles")).first()
-    signatures = candidates.select("node", "signature")
-    if total["n"] * (16 + 4 * BANDS * ROWS) <= BROADCAST_BYTES:
-        signatures = F.broadcast(signatures)
-    sets = candidates.select("node", "found")
-    if 16 * total["n"] + 8 * total["shingles"] <= BROADCAST_BYTES:
-        sets = F.broadcast(sets)
+    signatures = small_side(candidates.select("node", "signature"), 16 + 4 * BANDS * ROWS)
+    sets = candidates.select("node", "found")  # as large as the texts: never broadcast
     links = joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
