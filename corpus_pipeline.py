@@ -19,6 +19,8 @@ from fleetlens.llm.queries import tokenizer_files
 
 # A text is rejected when no language holds this share of its letter n-grams: far below any prose of a known language.
 MIN_LANGUAGE_SCORE = 0.1
+# Near duplicates share at least this part of their five-word shingles (op1 alone has a threshold of its own).
+NEAR_LINK = (80, 100)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of a group of near duplicates the document of smallest doc_id stays."""
-    dropped = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
+    dropped = near_dedup.near_duplicates(docs, link=NEAR_LINK).where("not kept").select("doc_id")
     return safe_join_ids(docs, dropped, "left_anti")
 
 

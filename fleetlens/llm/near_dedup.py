@@ -5,8 +5,8 @@ Steps, each written to the shared folder:
 1. A document's set is its distinct five-word shingles (64-bit hashes).  Texts
    with equal sets form one class and go on as one representative, so copies
    cost nothing further.
-2. Representatives get ``BANDS * ROWS`` MinHash values; each band of ROWS
-   values is a bucket key.  Only those that share a bucket go on.
+2. Representatives get ``HASHES`` MinHash values, cut in bands of as many values
+   as the threshold allows (``banding``); each band is a bucket key.  Only those that share a bucket go on.
 3. A candidate's core is its set less the shingles no other candidate has.  An
    intersection is within both cores, so sizes and cores alone rule out most
    pairs of texts that were changed in different places.
@@ -25,7 +25,8 @@ Steps, each written to the shared folder:
    confirmed links.
 
 What banding can miss: a pair at the threshold shares no band with probability
-(1 - 0.85**8)**24 = 0.0005, less at higher similarity.  The costly case is texts
+BAND_MISS at most, less at higher similarity: (1 - 0.85**8)**24 = 0.0005 at 0.85,
+(1 - 0.8**6)**32 = 0.00006 at 0.8.  The costly case is texts
 that share most of their shingles pairwise and yet are not linked: they stay in
 different components and all pairs that share a bucket are compared.
 
@@ -52,15 +53,15 @@ from fleetlens.llm.components import components
 
 WORDS = 5
 LINK = (85, 100)  # linked when 100 * intersection >= 85 * union
-BANDS = 24
-ROWS = 8
+HASHES = 192  # MinHash values, shared out to the bands
+BAND_MISS = 1e-3  # chance that a pair at the threshold shares no band
 BATCH = 32  # MinHash values compared before each decision
 MISS = 1e-6  # posterior chance below which a pair is dropped
 FIRST_HUBS = 1
 NEXT_HUBS = 256
 MORE_HUBS = 16  # from then on so many times as many each round
 MAX_ROUNDS = 20
-HUB_BYTES = 64 + 8 * BANDS  # width of a hub's row
+HUB_BYTES = 64  # width of a hub's row, and 8 for each band
 
 
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
@@ -98,6 +99,14 @@ def minhash(found: np.ndarray, n: int) -> np.ndarray:
     return best
 
 
+def banding(threshold: float) -> tuple[int, int]:
+    """(bands, rows): the longest bands of HASHES values in which a pair at the threshold is missed with BAND_MISS at most."""
+    for rows in range(HASHES, 0, -1):
+        if HASHES % rows == 0 and (1 - threshold**rows) ** (HASHES // rows) <= BAND_MISS:
+            return HASHES // rows, rows
+    raise ValueError(f"{HASHES} MinHash values are too few for a threshold of {threshold}")
+
+
 @lru_cache(maxsize=8)
 def least_agreements(total: int, batch: int, threshold: float, miss: float) -> tuple[int, ...]:
     """For n = batch, 2 batch, ... total: the fewest agreements of n with P(similarity >= threshold) >= miss.
@@ -140,7 +149,7 @@ def _sketch(texts: DataFrame, size: int) -> DataFrame:
                 found = shingles(text, size)
                 counts.append(len(found))
                 classes.append(xxhash.xxh128_digest(found.tobytes()) if len(found) else None)
-                signatures.append(minhash(found, BANDS * ROWS).astype("<u4").tobytes() if len(found) else None)
+                signatures.append(minhash(found, HASHES).astype("<u4").tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.binary())],
                 names=["doc_id", "n_shingles", "class_hash", "signature"],
@@ -149,18 +158,18 @@ def _sketch(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(rows, "doc_id long, n_shingles long, class_hash binary, signature binary")
 
 
-def _bucket_keys(nodes: DataFrame) -> DataFrame:
+def _bucket_keys(nodes: DataFrame, n_bands: int, width: int) -> DataFrame:
     """(bucket, node, cls, n), one row per band: the bucket key hashes the band's number and its MinHash values."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            bands = _matrix(batch.column(0)).astype(np.uint64).reshape(n, BANDS, ROWS)
-            keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
-            for i in range(ROWS):
+            bands = _matrix(batch.column(0)).astype(np.uint64).reshape(n, n_bands, width)
+            keys = np.broadcast_to(np.arange(1, n_bands + 1, dtype=np.uint64), (n, n_bands)).copy()
+            for i in range(width):
                 keys = (keys ^ bands[:, :, i]) * np.uint64(0xD6E8FEB86659FD93)
                 keys ^= keys >> np.uint64(32)
-            rest = [pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), BANDS)) for i in (1, 2, 3)]
+            rest = [pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), n_bands)) for i in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.reshape(-1).view(np.int64)), *rest], names=["bucket", "node", "cls", "n"]
             )
@@ -197,7 +206,7 @@ def _candidates(texts: DataFrame, size: int) -> DataFrame:
                     batch.column(0),
                     pa.array(np.array(classes, np.uint64).view(np.int64)),  # as xxhash64 of class_hash in SQL
                     pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
-                    pa.array([minhash(f, BANDS * ROWS).astype("<u4").tobytes() for f in found], pa.binary()),
+                    pa.array([minhash(f, HASHES).astype("<u4").tobytes() for f in found], pa.binary()),
                 ],
                 names=["node", "cls", "found", "signature"],
             )
@@ -226,7 +235,7 @@ def _hubs(members: DataFrame, hubs: int) -> DataFrame:
     """The first ``hubs`` members of every bucket by (outside, node, cls).
 
     ``members``: (bucket, outside, node, cls, n, core, component, buckets),
-    ``buckets`` being all that a member shares with others, BANDS at most.  Hubs
+    ``buckets`` being all that a member shares with others, one a band at most.  Hubs
     are found with partial results: the first of each of 64 salts, then the first
     of those, so that no group of any size is ranked in one task.
     """
@@ -237,7 +246,7 @@ def _hubs(members: DataFrame, hubs: int) -> DataFrame:
     return _smallest(_smallest(salted, ["bucket", "salt"], hubs).drop("salt"), ["bucket"], hubs)
 
 
-def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int]) -> DataFrame:
+def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int], bands: int) -> DataFrame:
     """Pairs (a < b) of the hubs with later members of other components."""
     num, den = link
     hub = hubs.select(*(F.col(c).alias(f"hub_{c}") for c in members.columns))
@@ -245,7 +254,7 @@ def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int]) -> Da
     possible = (num + den) * F.least("core", "hub_core") >= num * (F.col("n") + F.col("hub_n"))
     least_shared = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")
     met = members.join(
-        small_side(hub, HUB_BYTES),
+        small_side(hub, HUB_BYTES + 8 * bands),
         (F.col("bucket") == F.col("hub_bucket"))
         & later
         & (F.col("component") != F.col("hub_component"))
@@ -278,6 +287,7 @@ def near_duplicates(
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     work = Workspace(docs.sparkSession, "near-dedup")
     num, den = link
+    bands, rows = banding(num / den)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     sketches = work.save(_sketch(texts, size), "sketches")
     classes = sketches.where("class_hash is not null and doc_id is not null").groupBy("class_hash")
@@ -292,7 +302,7 @@ def near_duplicates(
         "nodes",
     )
 
-    keys = work.save(_bucket_keys(nodes), "keys")
+    keys = work.save(_bucket_keys(nodes, bands, rows), "keys")
     shared = keys.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
     sharing = work.save(keys.join(shared, "bucket"), "sharing")
     work.drop("keys")
@@ -326,13 +336,13 @@ def near_duplicates(
     members = work.save(shares.select(F.explode("buckets").alias("bucket"), "*"), "members-0")
     work.drop("sharing")
 
-    signatures = small_side(candidates.select("node", "signature"), 16 + 4 * BANDS * ROWS)
+    signatures = small_side(candidates.select("node", "signature"), 16 + 4 * HASHES)
     sets = candidates.select("node", "found")  # as large as the texts: never broadcast
     links = joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
         picked = work.save(_hubs(members, hubs), f"hubs-{i}")
-        pairs = work.save(_hub_pairs(members, picked, link), f"pairs-{i}")
+        pairs = work.save(_hub_pairs(members, picked, link, bands), f"pairs-{i}")
         compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
         alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
         both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brute import SF, brute_components, brute_exact, brute_hits
+from brute import SF, brute_components, brute_exact, brute_hits, word_set
 
 from fleetlens.llm import packing, queries
 
@@ -41,3 +41,19 @@ def test_language_stage_rejects_only_what_is_no_prose(spark):
     kept = corpus_pipeline.language_stage(spark, docs.unionByName(junk), SF)
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     assert ids == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_near_stage_drops_pairs_from_080_on(spark):
+    """Pairs of similarity 0.79 to 0.85: of those from 0.80 on one document stays, banding missing none of them."""
+    import corpus_pipeline
+
+    rows, want = [], set()
+    for k in range(300):
+        words = [f"a{k}x{i}" for i in range(104)]
+        # 104 words are 100 shingles; every cut at the end takes one of them away
+        left = len(words) - 15 - k % 7
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:left]))]
+        a, b = word_set(rows[-2][1]), word_set(rows[-1][1])
+        want |= {2 * k} | ({2 * k + 1} if 100 * len(a & b) < 80 * len(a | b) else set())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, SF).collect()} == want
