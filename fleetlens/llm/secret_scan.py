@@ -1,7 +1,8 @@
 r"""Secret scanning with a random forest against false positives, in DataFrame and Spark ML operations only.
 
-Candidates are the runs of 12 or more key-like characters with a digit, over
-whole texts.  Each carries features:
+Candidates are, over whole texts, the runs of 12 or more key-like characters,
+with or without digits, and values of any length that follow an assignment or
+one of the two words after a secret's name.  Each carries features:
 
 * its length, its share of digits, capitals and other signs, its distinct
   characters;
@@ -15,8 +16,8 @@ whole texts.  Each carries features:
 A random forest learns from labelled findings.  ``label_by_format`` labels
 those whose format settles the matter (issuer prefixes, assignments to a
 secret's name; addresses, hosts, dates, plain numbers); any other frame of
-labelled findings will do.  At most ``MAX_LABELLED`` labelled rows, those of
-smallest hash, are learned from.  Every candidate gets the forest's probability.
+labelled findings will do.  At most ``MAX_LABELLED`` labelled rows, of either
+label half of them and those of smallest hash, are learned from.  Every candidate gets the forest's probability.
 
 Defined cases: NULL or empty texts have no candidates; a NULL path has depth 0;
 without findings of both labels nothing is removed and the probability is 1;
@@ -42,6 +43,10 @@ HASHES = 32
 THRESHOLD = 0.5
 
 CANDIDATE = r"[A-Za-z0-9+/_.\-]{12,}={0,2}"
+VALUE = r"[^\s\"'`=:,;()\[\]{}<>]+"  # passwords hold other signs too
+ASSIGNED_VALUE = rf"(?<=[=:]['\"`]?){VALUE}"
+# not what stands after a closing quote
+LED_VALUE = rf"(?:^|(?<=^[\"'`(\[{{<])|(?<=[=:,;(\[{{<])|(?<=[=:,;(\[{{<][\"'`])){VALUE}"
 SECRET_NAME = r"(?i)(token|secret|passw|pwd|api.?key|credential|bearer|private)"
 EXAMPLE_NAME = r"(?i)(example|sample|dummy|placeholder|test|xxxx)"
 NUMBER_NAME = r"(?i)(phone|card|order|invoice|isbn|version|date|page)"
@@ -59,23 +64,41 @@ FEATURES = [
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """(doc_id, path, place, part, candidate, word, before, before2, after) of every candidate; place is the word's number."""
     path = F.col(f"`{path_col}`").cast("string") if path_col else F.lit(None).cast("string")
-    words = F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), r"[ \t\n\x0B\f\r]+")
-    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), path.alias("path"), words.alias("words"))
-    hit = lambda i: (F.length(F.get("words", i)) >= MIN_LENGTH) & F.get("words", i).rlike("[0-9]")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    base = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"),
+        path.alias("path"),
+        F.split(text, r"[ \t\n\x0B\f\r]+").alias("words"),
+        text.rlike(SECRET_NAME).alias("names"),  # most texts have none, so their words are not searched for it
+        (F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))).alias("signs"),
+    )
+    word = lambda i: F.coalesce(F.get("words", i), F.lit(""))
+    # a name that has its value in its own word names no other
+    is_name = lambda w: w.rlike(SECRET_NAME) & ~w.rlike(ASSIGNED_VALUE)
+    after_name = lambda i: F.col("names") & (is_name(word(i - 1)) | is_name(word(i - 2)))
+    after_sign = lambda i: F.col("signs") & word(i - 1).rlike(r"[=:]['\"`]?$")
+    hit = lambda i: (
+        (F.length(word(i)) >= MIN_LENGTH)
+        | (F.col("signs") & word(i).rlike(ASSIGNED_VALUE))
+        | after_sign(i)
+        | after_name(i)
+    )
     places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), hit)
     around = F.transform(
         places,
         lambda i: F.struct(
             i.alias("place"),
-            F.get("words", i).alias("word"),
-            F.coalesce(F.get("words", i - 1), F.lit("")).alias("before"),
-            F.coalesce(F.get("words", i - 2), F.lit("")).alias("before2"),
-            F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
+            word(i).alias("word"),
+            word(i - 1).alias("before"),
+            word(i - 2).alias("before2"),
+            word(i + 1).alias("after"),
+            (after_sign(i) | after_name(i)).alias("led"),
         ),
     )
     found = base.select("doc_id", "path", F.inline(around))
-    parts = F.filter(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0)), lambda c: c.rlike("[0-9]"))
-    return found.select("*", F.posexplode(parts).alias("part", "candidate"))
+    runs = lambda pattern: F.regexp_extract_all("word", F.lit(pattern), F.lit(0))
+    parts = F.array_distinct(F.concat(runs(CANDIDATE), F.when(F.col("led"), runs(LED_VALUE)).otherwise(runs(ASSIGNED_VALUE))))
+    return found.select("*", F.posexplode(parts).alias("part", "candidate")).drop("led")
 
 
 def dictionary(docs: DataFrame, pieces: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -142,11 +165,12 @@ def featured(found: DataFrame, known: DataFrame) -> DataFrame:
 def label_by_format(findings: DataFrame) -> DataFrame:
     """Adds ``label``: 1.0 or 0.0 where the format settles it, else NULL."""
     c = F.col("candidate")
+    named = (F.col("near_secret") == 1.0) & (F.col("assigned") == 1.0)
     settled = (
         F.when(c.rlike(ISSUED), 1.0)
         .when(c.rlike(HARMLESS) | (F.col("mailed") == 1.0), 0.0)
-        .when((F.col("near_secret") == 1.0) & (F.col("assigned") == 1.0) & (F.col("coverage") < 0.5), 1.0)
-        .when(F.col("coverage") >= 0.7, 0.0)
+        .when(named & (F.col("coverage") < 0.5), 1.0)
+        .when(~named & (F.col("coverage") >= 0.7), 0.0)  # copies make a password that is no word one of the corpus
     )
     return findings.withColumn("label", settled)
 
@@ -155,7 +179,8 @@ def classify(findings: DataFrame, labelled: DataFrame, max_labelled: int = MAX_L
     """``findings`` with ``probability`` of a forest learned from ``labelled`` (features and label)."""
     rows = labelled.where("label is not null").select(*FEATURES, "label")
     order = F.xxhash64(*FEATURES, "label")
-    bounded = rows.orderBy(order).limit(max_labelled)
+    some = lambda label: rows.where(F.col("label") == label).orderBy(order).limit(max_labelled // 2)
+    bounded = some(0.0).unionByName(some(1.0))  # ordinary words are far more than secrets
     kinds = {r["label"] for r in bounded.select("label").distinct().collect()}
     if kinds != {0.0, 1.0}:
         return findings.withColumn("probability", F.lit(1.0))
@@ -185,6 +210,13 @@ def redact(docs: DataFrame, findings: DataFrame, text_col: str = "text", mask: s
     """``docs`` with the secrets of their own findings masked in the text; other rows and columns are unchanged."""
     secrets = findings.where("is_secret").groupBy("doc_id").agg(F.collect_set("candidate").alias("_secrets"))
     longest_first = F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a))
-    masked = F.aggregate(longest_first, F.col(f"`{text_col}`"), lambda t, s: F.replace(t, s, F.lit(mask)))
+    # a short one is masked where it stands alone, not inside other words
+    alone = lambda s: F.concat(
+        F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(s, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])")
+    )
+    hide = lambda t, s: F.when(F.length(s) >= MIN_LENGTH, F.replace(t, s, F.lit(mask))).otherwise(
+        F.regexp_replace(t, alone(s), F.lit(mask.replace("\\", "\\\\").replace("$", "\\$")))
+    )
+    masked = F.aggregate(longest_first, F.col(f"`{text_col}`"), hide)
     text = F.when(F.col("_secrets").isNull(), F.col(f"`{text_col}`")).otherwise(masked)
     return docs.join(secrets, "doc_id", "left").withColumn(text_col, text).select(*docs.columns)

@@ -393,6 +393,29 @@ def test_secrets_are_found_and_decoys_are_not(spark, edge, empty):
     assert secret_scan.scan(edge).count() >= 0
 
 
+def test_secrets_without_digits_and_short_ones_are_found(spark):
+    rng = np.random.default_rng(5)
+    letters = lambda n: "".join(chr(65 + k) for k in rng.integers(0, 26, n))
+    rows, secrets = [], {}
+    for i in range(60):
+        short = letters(6).lower() + ("&3" if i % 2 else "")
+        for text, secret in (
+            (f"{prose(i, 8)} AKIA{{}} {prose(i + 1, 5)}", letters(16)),
+            (f'{prose(i, 8)} password = "{{}}"### {prose(i + 1, 5)}', letters(4) + letters(12).lower()),
+            (f'{prose(i, 8)} pwd="{{}}" {prose(i + 1, 5)}', short),
+            (f"{prose(i, 8)} the considerations of neighbourhoods were extraordinarily unfortunate {prose(i + 1, 5)}", None),
+            (f"{prose(i, 8)} call 4{i:03d}-0000-1111-2222 {prose(i + 1, 5)}", None),
+        ):
+            secrets[len(rows)] = secret
+            rows.append((len(rows), text.format(secret), "conf/app.env"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = secret_scan.scan(df)
+    hits = {r.doc_id: r.candidate for r in found.where("is_secret").select("doc_id", "candidate").collect()}
+    assert {i: c.removeprefix("AKIA") for i, c in hits.items()} == {i: s for i, s in secrets.items() if s}
+    for r in secret_scan.redact(df, found).collect():
+        assert (secrets[r.doc_id] not in r.text) if secrets[r.doc_id] else (r.text == rows[r.doc_id][1])
+
+
 def test_every_operator_takes_an_empty_table(spark, empty):
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert near_dedup.near_duplicates(empty).count() == 0
