@@ -12,19 +12,24 @@ from fleetlens.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    fim,
     language_id,
     lm_score,
     near_dedup,
     packing,
+    repair,
     secret_scan,
     sharding,
     token_counts,
+    toxicity,
 )
 from fleetlens.llm.common import Workspace, crc_fold
 
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
 SCORE_FOLDS, SCORE_HELD_OUT = 5, 1
 SHARDS = 16
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+TOXIC_FROM = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,6 +145,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return repair.report(turns, repair.damage(turns))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{name}_sha256") for c, name in (("output", "output"), ("restored", "restored")))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), TOXIC_FOLDS) == TOXIC_HELD_OUT
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(~held_out), labels.where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -153,6 +180,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_language_id,
         op10_secret_scan,
+        op11_conversation_repair,
+        op12_fill_in_middle,
+        op13_toxicity,
     )
 }
 
@@ -211,4 +241,106 @@ ORACLES: dict[str, str] = {
                count(*) AS documents, CAST(sum(CASE WHEN anew THEN new ELSE old END) AS BIGINT) AS tokens
         FROM t WHERE NOT gone GROUP BY ALL
     """,
+    # crc32 bit by bit; then a dynamic programme over (row, last role) that keeps the least (cost, edits)
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE c AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+          FROM conversations),
+        k AS (
+          SELECT *, xor(list_reduce(
+              list_transform(string_split(name, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+              lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END),
+              CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+          FROM c),
+        damaged AS (
+          SELECT conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS key, turn,
+                 CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+          FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM k WHERE kind <> 0)),
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+                 regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+          FROM damaged),
+        marked AS (
+          SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '-' END AS initial,
+                 CASE WHEN bare = '' THEN 'blank'
+                      WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 'duplicate'
+                      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+          FROM numbered),
+        counts AS (
+          SELECT key, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                 count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM (SELECT *, lag(initial) OVER (PARTITION BY key ORDER BY i) AS before FROM marked) GROUP BY key),
+        follows(state, next, forced) AS (
+          VALUES ('-', 's', false), ('-', 'u', true), ('s', 'u', true), ('u', 'a', true), ('a', 'u', true)),
+        inserts AS (  -- none, one or two empty rows, and the state after them
+          SELECT state, state AS reached, 0 AS cost, '' AS edits, '' AS roles FROM (SELECT DISTINCT state FROM follows)
+          UNION ALL SELECT state, next, 5, 'I', next FROM follows WHERE forced
+          UNION ALL SELECT a.state, b.next, 10, 'II', a.next || b.next
+                    FROM follows a JOIN follows b ON a.next = b.state WHERE a.forced AND b.forced),
+        moves AS (
+          SELECT state, initial, fault, 'D' AS edit, state AS reached, 2 AS cost, '-' AS given
+          FROM (SELECT DISTINCT state FROM follows), (SELECT DISTINCT initial, fault FROM marked)
+          UNION ALL
+          SELECT state, initial, fault, 'K', next, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, '-'
+          FROM follows JOIN (SELECT DISTINCT initial, fault FROM marked) ON next = initial WHERE fault IN ('sound', 'truncated')
+          UNION ALL
+          SELECT state, initial, fault, 'R', next, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, next
+          FROM follows, (SELECT DISTINCT initial, fault FROM marked) WHERE forced AND fault IN ('sound', 'truncated')),
+        options AS (
+          SELECT n.state, m.initial, m.fault, m.reached, n.cost + m.cost AS cost, n.edits || m.edit AS edits, n.roles || m.given AS roles
+          FROM inserts n JOIN moves m ON n.reached = m.state),
+        paths AS (
+          SELECT key, CAST(0 AS BIGINT) AS i, '-' AS state, {'cost': 0, 'edits': '', 'roles': ''} AS best FROM (SELECT DISTINCT key FROM marked)
+          UNION ALL
+          SELECT p.key, p.i + 1, o.reached,
+                 min({'cost': p.best.cost + o.cost, 'edits': p.best.edits || o.edits, 'roles': p.best.roles || o.roles})
+          FROM paths p JOIN marked m ON m.key = p.key AND m.i = p.i + 1
+               JOIN options o ON o.state = p.state AND o.initial = m.initial AND o.fault = m.fault
+          GROUP BY p.key, p.i, o.reached),
+        ended AS (
+          SELECT p.key, min({'cost': best.cost + n.cost, 'edits': best.edits || n.edits, 'roles': best.roles || n.roles}) AS best
+          FROM paths p JOIN (SELECT key, count(*) AS rows FROM marked GROUP BY key) c ON c.key = p.key AND c.rows = p.i
+               JOIN inserts n ON n.state = p.state WHERE n.reached IN ('-', 'a') GROUP BY p.key),
+        steps AS (
+          SELECT key, place, best.edits[place] AS edit, best.roles[place] AS given,
+                 len(replace(left(best.edits, place), 'I', '')) AS i
+          FROM (SELECT *, unnest(range(1, len(best.edits) + 1)) AS place FROM ended)),
+        repaired AS (
+          SELECT s.key, string_agg(CASE given WHEN 'u' THEN 'user' WHEN 'a' THEN 'assistant' ELSE m.role END || ':' ||
+                   CASE edit WHEN 'I' THEN '' ELSE m.text END, chr(10) ORDER BY place) AS whole
+          FROM steps s LEFT JOIN marked m ON m.key = s.key AND m.i = s.i WHERE edit <> 'D' GROUP BY s.key)
+        SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.edits, '') AS audit,
+               sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS key FROM conversations) o
+             LEFT JOIN counts USING (key) LEFT JOIN ended USING (key) LEFT JOIN repaired USING (key)
+    """,
+    "op12_fill_in_middle": r"""
+        WITH t AS (
+          SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                 regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+          FROM documents),
+        drawn AS (
+          SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                        OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+                      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+          FROM t),
+        cut AS (
+          SELECT *, array_to_string(units[1:least(a, b)], '') AS p, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS m,
+                 array_to_string(units[greatest(a, b) + 1:], '') AS s
+          FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM cut
+    """,
 }
