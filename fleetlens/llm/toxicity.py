@@ -59,6 +59,7 @@ WHOLE = 8  # bytes of the longest word that is a term whole
 LEVELS = 4  # a term occurring once, twice and so on, up to this, are features of their own
 CANDIDATES = 1 << 16  # terms of toxic texts, the most frequent, that are judged by all texts
 FLUSH = 1 << 18  # terms a task counts before it passes them on
+PATTERN_ROWS = 1 << 15  # distinct vote vectors a task of the label model reads
 CORRELATED = 0.5
 KIN = 0.1  # correlation of voters on labelled toxic texts from which they are taken to know the same kind
 ROUNDS = 8
@@ -544,6 +545,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = texts.join(known, "doc_id", "left").select("text", "label", key.alias("key"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("draw"))
     voted = work.save(_votes(rows, voters, ["label", "key", "draw"]), "voted")
     patterns = work.save(voted.groupBy("votes", "label").agg(F.count("*").alias("n")), "patterns")
+    # few vectors are distinct: as many tasks as they need, each of which sends one set of sums
+    patterns = patterns.coalesce(1 + patterns.count() // PATTERN_ROWS)
     labels_ = label_model(patterns, width)
     model = fit(work.save(_sample(voted, texts.select(key.alias("key"), "text"), labels_, patterns), "sample"))
     model.voters, model.labels = voters, labels_
