@@ -14,13 +14,17 @@ Steps, each written to the shared folder:
    outside the core (the original of a group of changed copies comes first).
    A round takes the first members of every bucket as hubs, one at first, then
    more, pairs each with the members after it that are in other components and
-   that cores allow, and lets the hubs go.  A bucket is done when one component
-   is left in it.  Two members are paired only in the least bucket they share,
-   so every pair of a bucket is tested once, ruled out or already in one
-   component, while a group of mutual copies costs a pair per member.
-5. Pairs compare their MinHash values batch by batch.  With a uniform prior
-   and m agreements of n, the posterior chance of a similarity of at least the
-   threshold is a binomial tail; a pair is dropped when it falls below ``miss``.
+   that cores and sketches allow, and lets the hubs go.  A bucket is done when
+   one component is left in it.  Two members are paired only in the least
+   bucket they share, so every pair of a bucket is tested once, ruled out or
+   already in one component, while a group of mutual copies costs a pair per
+   member.
+5. A candidate's sketch is one bit of each of SKETCH further MinHash values.
+   Two sketches agree in a bit with probability (1 + similarity) / 2, so with a
+   uniform prior the posterior chance of a similarity of at least the threshold
+   is a binomial tail.  The join that pairs members compares sketches batch by
+   batch and drops a pair as soon as that chance falls below ``miss``: pairs
+   that are merely alike never become rows.
 6. Survivors are confirmed on their full sets; components follow from the
    confirmed links.
 
@@ -28,11 +32,12 @@ What banding can miss: a pair at the threshold shares no band with probability
 BAND_MISS at most, less at higher similarity: (1 - 0.85**8)**24 = 0.0005 at 0.85,
 (1 - 0.8**6)**32 = 0.00006 at 0.8.  The costly case is texts
 that share most of their shingles pairwise and yet are not linked: they stay in
-different components and all pairs that share a bucket are compared.
+different components and the sketches of all pairs that share a bucket are compared.
 
 Defined cases: a text with fewer words than a shingle is one shingle; NULL or
 wordless texts have an empty set and are linked with nothing, not even each
-other.  Rows that repeat a doc_id are one document with the union of links.
+other.  Rows that repeat a doc_id are one document with the union of links, and
+have one component_id.
 Rows with a NULL doc_id are their own component.  Other columns are not read.
 """
 
@@ -40,13 +45,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from fleetlens.llm.common import Workspace, small_side, space_words, word_hashes
 from fleetlens.llm.components import components
@@ -55,13 +61,14 @@ WORDS = 5
 LINK = (85, 100)  # linked when 100 * intersection >= 85 * union
 HASHES = 192  # MinHash values, shared out to the bands
 BAND_MISS = 1e-3  # chance that a pair at the threshold shares no band
-BATCH = 32  # MinHash values compared before each decision
+SKETCH = 2048  # bits of a candidate's sketch
+BATCHES = (512, 1024, 2048)  # bits compared before each decision
 MISS = 1e-6  # posterior chance below which a pair is dropped
 FIRST_HUBS = 1
 NEXT_HUBS = 256
 MORE_HUBS = 16  # from then on so many times as many each round
 MAX_ROUNDS = 20
-HUB_BYTES = 64  # width of a hub's row, and 8 for each band
+HUB_BYTES = 64 + SKETCH // 8  # width of a hub's row, and 8 for each band
 
 
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
@@ -80,25 +87,32 @@ def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20250101)
+def _multipliers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
     odd = rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     return odd[:, None], rng.integers(0, 1 << 32, n, dtype=np.uint32)[:, None]
 
 
-def minhash(found: np.ndarray, n: int) -> np.ndarray:
+def minhash(found: np.ndarray, n: int, seed: int = 20250101) -> np.ndarray:
     """n MinHash values (32 bits) of a shingle set, computed in blocks that stay in cache."""
-    mul, add = _multipliers(n)
+    mul, plus = _multipliers(n, seed)
     low = (found ^ (found >> np.uint64(32))).astype(np.uint32)
     best = np.full(n, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(low), 1024):
-        mixed = low[None, i : i + 1024] * mul + add
+    step = max(1, 196_608 // n)
+    for i in range(0, len(low), step):
+        mixed = low[None, i : i + step] * mul + plus
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0x2C1B3C6D)
         np.minimum(best, mixed.min(axis=1), out=best)
     return best
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """One bit of each of SKETCH MinHash values, none of which bands use, as signed longs."""
+    # values are minima, their high bits mostly zero: the lowest bit is as good as a coin
+    return np.packbits(minhash(found, SKETCH, seed=20250102) & 1).view("<i8")
+
+
 def banding(threshold: float) -> tuple[int, int]:
     """(bands, rows): the longest bands of HASHES values in which a pair at the threshold is missed with BAND_MISS at most."""
     for rows in range(HASHES, 0, -1):
@@ -108,35 +122,32 @@ def banding(threshold: float) -> tuple[int, int]:
 
 
 @lru_cache(maxsize=8)
-def least_agreements(total: int, batch: int, threshold: float, miss: float) -> tuple[int, ...]:
-    """For n = batch, 2 batch, ... total: the fewest agreements of n with P(similarity >= threshold) >= miss.
+def least_agreements(batches: tuple[int, ...], chance: float, miss: float) -> tuple[int, ...]:
+    """For each n of ``batches``: the fewest agreements of n with P(chance of agreeing >= ``chance``) >= miss.
 
     Under a uniform prior the posterior after m of n is Beta(m + 1, n - m + 1)
     and its upper tail at t equals P(Binomial(n + 1, t) <= m).
     """
     out = []
-    for n in range(batch, total + 1, batch):
-        tail = 0.0
-        for m in range(n + 1):
-            tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-            if tail >= miss:
-                break
+    for n in batches:
+        tail, m = 0.0, -1
+        while tail < miss:
+            m += 1
+            ways = lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m)
+            tail += exp(ways + m * log(chance) + (n + 1 - m) * log(1 - chance))
         out.append(m)
     return tuple(out)
 
 
-def surviving(left: np.ndarray, right: np.ndarray, batch: int, threshold: float, miss: float) -> np.ndarray:
-    """Indices of the pairs (rows of two signature matrices) no batch decides against."""
-    alive = np.arange(len(left))
-    agree = np.zeros(len(left), np.int64)
-    for i, least in enumerate(least_agreements(left.shape[1], batch, threshold, miss)):
-        part = slice(i * batch, (i + 1) * batch)
-        agree = agree + (left[alive, part] == right[alive, part]).sum(axis=1)
-        stay = agree >= least
-        alive, agree = alive[stay], agree[stay]
-        if not len(alive):
-            break
-    return alive
+def alike(left: Column, right: Column, threshold: float, miss: float) -> Column:
+    """Whether no batch of two sketches' bits decides against a similarity of ``threshold``; later batches only if needed."""
+    out = F.lit(True)
+    for n, least in reversed(list(zip(BATCHES, least_agreements(BATCHES, (1 + threshold) / 2, miss), strict=True))):
+        # a loop over the longs, not a sum spelt out: methods of that size are not compiled by the JVM
+        words = F.zip_with(F.slice(left, 1, n // 64), F.slice(right, 1, n // 64), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        differ = F.aggregate(words, F.lit(0), lambda total, x: total + x)
+        out = F.when(differ <= n - least, out).otherwise(False)
+    return out
 
 
 def _sketch(texts: DataFrame, size: int) -> DataFrame:
@@ -182,20 +193,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
 
 
-def _prune(pairs: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """(a, b) of the pairs with signatures sa, sb that sequential verification does not drop."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                stay = surviving(_matrix(batch.column(2)), _matrix(batch.column(3)), BATCH, threshold, miss)
-                yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(stay)) for i in (0, 1)], names=["a", "b"])
-
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(rows, "a long, b long")
-
-
 def _candidates(texts: DataFrame, size: int) -> DataFrame:
-    """(node, cls, found, signature) of (doc_id, text)."""
+    """(node, cls, found, sketch) of (doc_id, text)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,12 +205,12 @@ def _candidates(texts: DataFrame, size: int) -> DataFrame:
                     batch.column(0),
                     pa.array(np.array(classes, np.uint64).view(np.int64)),  # as xxhash64 of class_hash in SQL
                     pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64())),
-                    pa.array([minhash(f, HASHES).astype("<u4").tobytes() for f in found], pa.binary()),
+                    pa.array([sketch(f) for f in found], pa.list_(pa.int64())),
                 ],
-                names=["node", "cls", "found", "signature"],
+                names=["node", "cls", "found", "sketch"],
             )
 
-    return texts.mapInArrow(rows, "node long, cls long, found array<long>, signature binary")
+    return texts.mapInArrow(rows, "node long, cls long, found array<long>, sketch array<long>")
 
 
 def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
@@ -234,33 +233,31 @@ def _confirm(pairs: DataFrame, link: tuple[int, int]) -> DataFrame:
 def _hubs(members: DataFrame, hubs: int) -> DataFrame:
     """The first ``hubs`` members of every bucket by (outside, node, cls).
 
-    ``members``: (bucket, outside, node, cls, n, core, component, buckets),
+    ``members``: (bucket, outside, node, cls, n, core, component, buckets, sketch),
     ``buckets`` being all that a member shares with others, one a band at most.  Hubs
     are found with partial results: the first of each of 64 salts, then the first
     of those, so that no group of any size is ranked in one task.
     """
     if hubs == 1:
-        first = F.min(F.struct("outside", "node", "cls", "n", "core", "component", "buckets")).alias("h")
+        first = F.min(F.struct("outside", "node", "cls", "n", "core", "component", "buckets", "sketch")).alias("h")
         return members.groupBy("bucket").agg(first).select("bucket", "h.*")
     salted = members.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(64)))
     return _smallest(_smallest(salted, ["bucket", "salt"], hubs).drop("salt"), ["bucket"], hubs)
 
 
-def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int], bands: int) -> DataFrame:
-    """Pairs (a < b) of the hubs with later members of other components."""
+def _hub_pairs(members: DataFrame, hubs: DataFrame, link: tuple[int, int], bands: int, miss: float) -> DataFrame:
+    """Pairs (a < b) of the hubs with later members of other components, as far as sketches allow."""
     num, den = link
     hub = hubs.select(*(F.col(c).alias(f"hub_{c}") for c in members.columns))
     later = F.struct("outside", "node", "cls") > F.struct("hub_outside", "hub_node", "hub_cls")
     possible = (num + den) * F.least("core", "hub_core") >= num * (F.col("n") + F.col("hub_n"))
     least_shared = F.array_min(F.array_intersect("buckets", "hub_buckets")) == F.col("bucket")
-    met = members.join(
-        small_side(hub, HUB_BYTES + 8 * bands),
-        (F.col("bucket") == F.col("hub_bucket"))
-        & later
-        & (F.col("component") != F.col("hub_component"))
-        & possible
-        & least_shared,
-    )
+    # the dearer a test, the later: CASE keeps this order
+    wanted = F.when(
+        later & (F.col("component") != F.col("hub_component")) & possible,
+        F.when(least_shared, alike(F.col("sketch"), F.col("hub_sketch"), num / den, miss)).otherwise(False),
+    ).otherwise(False)
+    met = members.join(small_side(hub, HUB_BYTES + 8 * bands), (F.col("bucket") == F.col("hub_bucket")) & wanted)
     return met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
 
 
@@ -308,6 +305,7 @@ def near_duplicates(
     work.drop("keys")
     needed = small_side(work.save(sharing.select(F.col("node").alias("doc_id")).distinct(), "needed"), 16)
     candidates = work.save(_candidates(texts.join(needed, "doc_id", "left_semi"), size), "candidates")
+    sketches_of = candidates.groupBy("cls").agg(F.first("sketch").alias("sketch"))  # equal sets, equal sketches
     alone = (
         candidates.select("cls", F.explode("found").alias("shingle"))
         .groupBy("shingle")
@@ -322,6 +320,7 @@ def near_duplicates(
         sharing.groupBy("node", "cls", "n")
         .agg(F.collect_set("bucket").alias("buckets"))
         .join(cores, "cls", "left")
+        .join(sketches_of, "cls")
         .select(
             (outside / F.col("n")).alias("outside"),
             "node",
@@ -330,24 +329,33 @@ def near_duplicates(
             (F.col("n") - outside).alias("core"),
             F.col("node").alias("component"),
             "buckets",
+            "sketch",
         )
         .where(den * F.col("core") >= num * F.col("n"))  # else no set is near enough to it
     )
     members = work.save(shares.select(F.explode("buckets").alias("bucket"), "*"), "members-0")
     work.drop("sharing")
 
-    signatures = small_side(candidates.select("node", "signature"), 16 + 4 * HASHES)
     sets = candidates.select("node", "found")  # as large as the texts: never broadcast
-    links = joined = None
+    # rows that repeat a doc_id are one document: its texts' classes are linked from the start
+    repeats = (
+        sketches.where("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("class_hash").alias("lo"), F.max("class_hash").alias("hi"), F.count("*").alias("rows"), F.count("class_hash").alias("sets"))
+        .where("lo <> hi or (sets > 0 and sets < rows)").select("doc_id")
+    )
+    repeated = small_side(work.save(repeats, "repeats"), 16)
+    of_repeated = sketches.join(repeated, "doc_id", "left_semi").join(nodes.select("class_hash", "node"), "class_hash")
+    first_node = F.min("node").over(Window.partitionBy("doc_id"))  # the texts of one doc_id, without copies
+    twins = work.save(of_repeated.select("doc_id", "node").distinct().select("doc_id", "node", first_node.alias("least")), "twins")
+    links = twins.select(F.col("least").alias("a"), F.col("node").alias("b"))
+    joined = None
     hubs = FIRST_HUBS
     for i in range(1, MAX_ROUNDS + 1):
         picked = work.save(_hubs(members, hubs), f"hubs-{i}")
-        pairs = work.save(_hub_pairs(members, picked, link, bands), f"pairs-{i}")
-        compared = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
-        alive = work.save(_prune(compared, num / den, miss), f"alive-{i}")
-        both = alive.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
+        pairs = work.save(_hub_pairs(members, picked, link, bands, miss), f"pairs-{i}")
+        both = pairs.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
         found = work.save(_confirm(both, link), f"links-{i}")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         joined = work.save(components(links, work, f"cc-{i}").toDF("node", "joined"), f"components-{i}")
 
         # buckets left: those whose members that were no hubs are in more than one component
@@ -355,7 +363,7 @@ def near_duplicates(
         marked = (
             _after_hubs(members, picked)
             .join(small_side(joined, 24), "node", "left")
-            .select("bucket", "outside", "node", "cls", "n", "core", component, "buckets")
+            .select("bucket", "outside", "node", "cls", "n", "core", component, "buckets", "sketch")
         )
         marked = work.save(marked, f"marked-{i}")
         open_ = (
@@ -365,21 +373,26 @@ def near_duplicates(
             .select("bucket")
         )
         members = work.save(marked.join(open_, "bucket", "left_semi"), f"members-{i}")
-        work.drop(f"alive-{i}", f"hubs-{i}", f"pairs-{i}", f"marked-{i}", f"members-{i - 1}")
+        work.drop(f"hubs-{i}", f"pairs-{i}", f"marked-{i}", f"members-{i - 1}")
         if members.isEmpty():
             break
         hubs = NEXT_HUBS if hubs == FIRST_HUBS else hubs * MORE_HUBS
     else:
         raise RuntimeError(f"buckets were still open after {MAX_ROUNDS} rounds")
 
-    # a document's component: of its class's representative, through the class
+    # a document's component: of its class's representative, through the class; a repeated doc_id's empty texts have none
     of_class = nodes.join(small_side(joined, 24), "node", "left").select(
         "class_hash", F.coalesce("joined", "node").alias("component_id")
     )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    of_twin = (
+        twins.groupBy("doc_id").agg(F.min("least").alias("node")).join(small_side(joined, 24), "node", "left")
+        .select("doc_id", F.coalesce("joined", "node").alias("twin"))
+    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "twin", "doc_id"))
     return (
         sketches.select("doc_id", "n_shingles", "class_hash")
         .join(of_class, "class_hash", "left")
+        .join(small_side(work.save(of_twin, "of-twin"), 24), "doc_id", "left")
         .select(
             "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
         )

@@ -97,13 +97,41 @@ def test_near_duplicates_of_a_group_of_changed_copies(spark):
 
 
 def test_pruning_bound_is_the_beta_posterior():
-    for n, least in zip(range(32, 193, 32), near_dedup.least_agreements(192, 32, 0.85, 1e-6), strict=True):
-        grid = (np.arange(200_000) + 0.5) / 200_000
+    batches = (64, 512, 2048)
+    for n, least in zip(batches, near_dedup.least_agreements(batches, 0.9, 1e-6), strict=True):
+        grid = (np.arange(400_000) + 0.5) / 400_000
         for m, kept in ((least, True), (least - 1, False)):
-            if m < 0:
-                continue
-            weight = np.exp(m * np.log(grid) + (n - m) * np.log1p(-grid))
-            assert (weight[grid >= 0.85].sum() / weight.sum() >= 1e-6) == kept
+            log = m * np.log(grid) + (n - m) * np.log1p(-grid)
+            weight = np.exp(log - log.max())
+            assert (weight[grid >= 0.9].sum() / weight.sum() >= 1e-6) == kept
+
+
+def test_sketches_agree_as_their_sets_do(spark):
+    """Bits agree with chance (1 + similarity) / 2; pairs at the threshold pass, those well below do not."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for similarity in [0.8] * 60 + [0.85] * 60 + [0.6] * 60:
+        shared = round(400 * similarity)
+        ids = rng.integers(0, 1 << 63, 400, np.int64).astype(np.uint64)
+        own = (400 - shared) // 2
+        a, b = np.sort(ids[: shared + own]), np.sort(np.r_[ids[:shared], ids[shared + own :]])
+        rows.append((similarity, near_dedup.sketch(a).tolist(), near_dedup.sketch(b).tolist()))
+    bits = [(s, np.mean([bin((x ^ y) & (2**64 - 1)).count("0") - 1 + 64 - len(bin((x ^ y) & (2**64 - 1))[2:]) for x, y in zip(a, b, strict=True)]) / 64) for s, a, b in rows]
+    for s in (0.6, 0.8, 0.85):
+        assert abs(np.mean([agree for t, agree in bits if t == s]) - (1 + s) / 2) < 0.01
+    frame = spark.createDataFrame(rows, "s double, a array<long>, b array<long>")
+    passed = frame.where(near_dedup.alike(F.col("a"), F.col("b"), 0.8, 1e-6)).groupBy("s").count()
+    assert {r.s: r["count"] for r in passed.collect()} == {0.8: 60, 0.85: 60}
+
+
+def test_rows_of_one_doc_id_have_one_component(spark):
+    x, y, z = prose(20, 60), prose(21, 60), prose(22, 60)
+    rows = [(1, x), (5, x), (5, y), (7, y), (9, z), (8, z), (8, ""), (30, None), (30, "a b"), (None, y), (4, "c d"), (4, "c d")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dedup.near_duplicates(frame).collect()
+    found = {(r.doc_id, r.component_id) for r in got}
+    assert found == {(1, 1), (5, 1), (7, 1), (9, 8), (8, 8), (30, 30), (None, None), (4, 4)}
+    assert len(got) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
 @pytest.mark.parametrize("block", [components.BLOCK_EDGES, 5])
