@@ -16,7 +16,7 @@ def word_set(text, size=5):
     return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
 
 
-def brute_components(rows):
+def brute_components(rows, link=(85, 100)):
     sets = [(i, word_set(t)) for i, t in rows if i is not None]
     parent = {i: i for i, _ in sets}
 
@@ -27,7 +27,7 @@ def brute_components(rows):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and link[1] * len(a & b) >= link[0] * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in parent}
