@@ -4,8 +4,10 @@ Every stage takes (spark, docs, sf_dir) and returns the documents it keeps,
 with their columns; the last returns packed pieces.  ``run`` writes each
 stage's result to the shared folder and reads it back for the next.
 
-Stages that judge by doc_id keep or drop all rows of a doc_id together; rows
-with a NULL doc_id are kept by the deduplications and the decontamination.
+Rows are judged one by one: every row gets a key of its own, so of equal texts
+one row stays whatever ids they have, and a doc_id that occurs with two texts
+can lose one and keep the other.  NULL texts are empty texts (which language ID
+rejects), extra columns are carried along under any name.
 """
 
 from __future__ import annotations
@@ -23,30 +25,66 @@ MIN_LANGUAGE_SCORE = 0.1
 NEAR_LINK = (80, 100)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with so many underscores that no column of ``docs`` is called so in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that numbers its rows, and that column's name.
+
+    Written, so that a row has the same number in the operator that judges it
+    and in the join that drops it, also when a task is run again.
+    """
+    key = _free(docs, "row")
+    return Workspace(spark, "rows").save(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
+def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is not in ``dropped`` (columns: the key), without the key."""
+    return safe_join_ids(keyed, dropped, "left_anti", key).drop(key)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those that fit none of the languages the corpus is labelled with."""
     model = language_id.train(docs)
-    decided = docs.withColumn("_decided", language_id.predict(docs, model))
-    keep = (F.col("_decided.lang_pred") != language_id.UNDETERMINED) & (F.col("_decided.score") >= MIN_LANGUAGE_SCORE)
-    return decided.where(keep).select(*docs.columns)
+    found = _free(docs, "decided")
+    decided = docs.withColumn(found, language_id.predict(docs, model))
+    keep = (F.col(f"{found}.lang_pred") != language_id.UNDETERMINED) & (F.col(f"{found}.score") >= MIN_LANGUAGE_SCORE)
+    return decided.where(keep).drop(found)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
-    dropped = exact_dedup.exact_groups(docs).where("not kept").select("doc_id")
-    return safe_join_ids(docs, dropped, "left_anti")
+    """Of equal texts one row stays: most code points, then smallest doc_id."""
+    keyed, key = _keyed(spark, docs)
+    # rows are ordered by (doc_id, key) in a group of equal texts
+    texts = keyed.select(F.struct(F.col("doc_id"), F.col(key).alias("key")).alias("id"), F.col("text"))
+    dropped = exact_dedup.exact_groups(texts, id_col="id").where("not kept").select(F.col("doc_id.key").alias(key))
+    return _without(keyed, key, dropped)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group of near duplicates the document of smallest doc_id stays."""
-    dropped = near_dedup.near_duplicates(docs, link=NEAR_LINK).where("not kept").select("doc_id")
-    return safe_join_ids(docs, dropped, "left_anti")
+    """Of a group of near duplicates the row of smallest doc_id stays."""
+    keyed, key = _keyed(spark, docs)
+    found = near_dedup.near_duplicates(keyed.select(F.col(key).alias("key"), "text"), id_col="key", link=NEAR_LINK)
+    found = Workspace(spark, "near-rows").save(found.select(F.col("doc_id").alias("key"), "component_id", "kept"), "found")
+    # groups of one row are left out; the others choose their row by partial minima
+    groups = found.where("not kept").select("component_id").distinct()
+    members = found.join(groups, "component_id", "left_semi").join(keyed.select(F.col(key).alias("key"), "doc_id"), "key")
+    stays = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
+    dropped = members.join(stays, "component_id").where("key <> stays.key").select(F.col("key").alias(key))
+    return _without(keyed, key, dropped)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a passage of the benchmark occurs."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return safe_join_ids(docs, found.where("n_hit > 0").select("doc_id"), "left_anti")
+    keyed, key = _keyed(spark, docs)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(keyed.select(F.col(key).alias("key"), "text"), benchmark, id_col="key")
+    return _without(keyed, key, found.where("n_hit > 0").select(F.col("doc_id").alias(key)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
