@@ -36,7 +36,7 @@ def _log_bucket(v: Column) -> Column:
 
 def group_quantile(
     df: DataFrame, keys: list[str], value: str, q: float, out: str, count_col: str | None = None,
-    max_col: str | None = None,
+    max_col: str | None = None, weight: str | None = None,
 ) -> DataFrame:
     """Per group of ``keys``: the value at 0-based index ``min(floor(q·n), n-1)`` of the sorted values.
 
@@ -47,8 +47,11 @@ def group_quantile(
     the bucket holding the wanted index, and only that bucket's distinct
     values are ordered.  ``count_col`` / ``max_col`` also return the group's
     size and largest value, which fall out of the bucket pass for free.
+    ``weight`` names a column that says how many values a row stands for (a
+    histogram).  NULL values are left out; NULL keys are keys like any other.
     """
-    hist = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")).withColumn("_b", _log_bucket(F.col(value)))
+    size = F.count("*") if weight is None else F.sum(weight)
+    hist = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(size.alias("_c")).withColumn("_b", _log_bucket(F.col(value)))
     buckets = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"), F.max(value).alias("_bmax"))
     group = Window.partitionBy(*keys)
     before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,9 +65,15 @@ def group_quantile(
         )
         .withColumn("_k", F.least(F.floor(F.col("_n") * q), F.col("_n") - 1))
         .filter((F.col("_before") <= F.col("_k")) & (F.col("_k") < F.col("_before") + F.col("_bc")))
-        .select(*keys, "_b", (F.col("_k") - F.col("_before")).alias("_r"), "_n", "_max")
+        .select(
+            *(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)), F.col("_b").alias("_pb"),
+            (F.col("_k") - F.col("_before")).alias("_r"), "_n", "_max",
+        )
     )
-    in_bucket = hist.join(picked, [*keys, "_b"])
+    same = F.col("_b") == F.col("_pb")
+    for i, k in enumerate(keys):  # a NULL key joins with NULL
+        same &= F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    in_bucket = hist.join(picked, same)
     before_v = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     extra = ([F.col("_n").alias(count_col)] if count_col else []) + ([F.col("_max").alias(max_col)] if max_col else [])
     return (
@@ -89,10 +98,15 @@ def stage_task_totals(tasks: DataFrame) -> DataFrame:
     return tasks.groupBy(*STAGE_KEY).agg(*task_total_aggs())
 
 
+def attempt_order() -> list[Column]:
+    """What orders the attempts of an application: start (unknown first), attempt number, attempt id as text."""
+    return [F.col("start_ms"), F.expr("try_cast(attempt_id as bigint)").alias("_number"), F.col("attempt_id")]
+
+
 def latest_attempts(apps: DataFrame) -> DataFrame:
-    """One row per app: its attempt with the latest start."""
+    """One row per app: its attempt with the latest start (ties: the larger attempt id)."""
     cols = [c for c in apps.columns if c != "app_id"]
-    latest = F.max_by(F.struct(*cols), F.col("start_ms")).alias("a")
+    latest = F.max_by(F.struct(*cols), F.struct(*attempt_order())).alias("a")
     return apps.groupBy("app_id").agg(latest).select("app_id", "a.*")
 
 
@@ -166,13 +180,15 @@ def stage_skew(
     min_max_ms: int = fx.SKEW_MIN_MAX_MS,
     min_tasks: int = fx.SKEW_MIN_TASKS,
     app_id: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Completed stages whose slowest successful task ran ``ratio``× the median or more.
 
     A stage qualifies when it is COMPLETE, has at least ``min_tasks`` tasks,
     its slowest task took at least ``min_max_ms`` and more than
     ``ratio · max(median, 1)``.  Over all apps unless ``app_id`` is given; an
-    empty result means no skewed stage.
+    empty result means no skewed stage.  ``weight`` names a column of ``tasks``
+    that says how many tasks a row stands for.
     """
     eligible = stages.filter((F.col("status") == "COMPLETE") & (F.col("num_tasks") >= min_tasks))
     if app_id is not None:
@@ -184,7 +200,7 @@ def stage_skew(
         STAGE_KEY,
     ).select(*STAGE_KEY)
     ok = tasks.filter(F.col("successful")).join(slow, STAGE_KEY, "left_semi")
-    quantiles = group_quantile(ok, STAGE_KEY, "run_ms", 0.5, "median_ms", max_col="max_ms")
+    quantiles = group_quantile(ok, STAGE_KEY, "run_ms", 0.5, "median_ms", max_col="max_ms", weight=weight)
     flagged = (
         eligible.join(quantiles, STAGE_KEY)
         .filter(

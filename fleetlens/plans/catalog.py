@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins, layout, quality, routes, runmetrics, windows
 from fleetlens.sources import fixtures as fix
-from fleetlens.sources.staging import staged
+from fleetlens.sources.staging import fingerprint, staged
 
 RULES = clean.FIXTURE_RULES
 # Fixture fares are order-line prices (up to ~100k), so the "looks wrong" fare is higher.
@@ -32,10 +32,17 @@ LAYOUT_PARTITIONS = 16
 ROWS_ONLY: set[str] = set()
 
 
+def _staged_from(spark: SparkSession, sf_dir: str, label: str, tables: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` staged under a key that changes with the files of the named tables."""
+    root = sf_dir.rstrip("/")
+    files = fingerprint(spark, *(f"{root}/{t}.parquet" for t in tables.split()))
+    return staged(spark, f"{label}:{root}:{files}", build)
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched trip view, staged once per application (see :mod:`fleetlens.sources.staging`)."""
-    key = f"trips:{sf_dir.rstrip('/')}"
-    return staged(spark, key, lambda: clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES))
+    tables = "lineitem orders customer supplier"
+    return _staged_from(spark, sf_dir, "trips", tables, lambda: clean.enriched_trips(fix.trips_raw(spark, sf_dir), RULES))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,14 +124,14 @@ COMPARE_BASELINE = "click"
 def event_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """apps / jobs / stages / tasks over ``events``; the task table is staged once per application
     (as a parsed event log would be), the per-stage and per-app tables are derived from it."""
-    tasks = staged(spark, f"event_tasks:{sf_dir.rstrip('/')}", lambda: fix.event_tasks(spark, sf_dir))
+    tasks = _staged_from(spark, sf_dir, "event_tasks", "events", lambda: fix.event_tasks(spark, sf_dir))
     return fix.event_run_tables(spark, sf_dir, tasks)
 
 
 def order_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """jobs / job_stages / stages over ``orders`` and ``lineitem``; the per-order lineitem
     aggregate is staged once per application."""
-    lines = staged(spark, f"order_lines:{sf_dir.rstrip('/')}", lambda: fix.order_lines(spark, sf_dir))
+    lines = _staged_from(spark, sf_dir, "order_lines", "lineitem", lambda: fix.order_lines(spark, sf_dir))
     return fix.order_run_tables(spark, sf_dir, lines)
 
 

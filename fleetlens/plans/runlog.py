@@ -43,7 +43,7 @@ def analyze(
         "detail": rm.app_detail(summary, t["apps"]),
         "timeline": rm.stage_timeline(t["apps"], t["stages"]),
         "jobs": rm.jobs_table(t["jobs"], t["job_stages"], t["stages"]),
-        "skipped": rm.skipped_stages(t["job_stages"], t["stages"]),
+        "skipped": rm.skipped_stages(t["job_stages"], t["stages"], t["jobs"]),
         "compare": rm.compare_long(raw_summary),
     }
     if baseline_app_id is not None:

@@ -10,19 +10,27 @@ uncompressed logs split).
 Only the event kinds used here are parsed: lines are first filtered on their
 leading ``{"Event":"<kind>"`` text (Spark writes the Event field first), then
 parsed once with an explicit schema, so the bulk of a log (task starts, SQL
-plan updates, block updates) never reaches the JSON parser.  The app id
-comes from the file path, because only the first file of a rolled log holds
-the ApplicationStart event.
+plan updates, block updates) never reaches the JSON parser.
+
+A log is the file or rolling directory of one attempt of an application.  Its
+name comes from the path, because only the first file of a rolled log holds the
+ApplicationStart event; the application and attempt come from that event, so
+the logs ``app_1`` and ``app_2`` of one application are two attempts of it.
+``apps()`` lists all attempts; jobs, stages and tasks are those of the attempt
+that started last (ties: the larger attempt id).  A log without its
+ApplicationStart event counts as an application of the log's name.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.operators.runmetrics import STAGE_KEY, stage_task_totals
-from fleetlens.sources.staging import staged
+from fleetlens.operators.runmetrics import STAGE_KEY, attempt_order, stage_task_totals
+from fleetlens.sources.staging import fingerprint, staged
 
 PREFIX = "SparkListener"
 KINDS = [
@@ -103,8 +111,8 @@ UNREAD = r"\.(lz4|lzf|snappy)(\.inprogress)?$"
 _COMPRESSION = r"(\.(zstd|zst|lz4|lzf|snappy|gz))?"
 
 
-def app_id_from_path(path: Column) -> Column:
-    """App id of a log file: the rolling directory's suffix, else the file name without extensions."""
+def log_name(path: Column) -> Column:
+    """Name of the log a file belongs to: the rolling directory's suffix, else the file name without extensions."""
     rolled = F.regexp_extract(path, r"eventlog_v2_([^/]+)/events_[^/]*$", 1)
     single = F.regexp_extract(path, r"([^/]+?)" + _COMPRESSION + r"(\.inprogress)?$", 1)
     return F.when(rolled != "", rolled).otherwise(single)
@@ -125,6 +133,11 @@ def _e(name: str) -> Column:
     return F.col("e").getField(name)
 
 
+def parse(lines: DataFrame) -> DataFrame:
+    """(log, e) of the (log, value) lines that are events of a wanted kind."""
+    return lines.filter(is_wanted(F.col("value"))).select("log", F.from_json("value", EVENT_SCHEMA).alias("e"))
+
+
 class EventLog:
     """Tables over the event logs under ``path`` (a directory searched recursively, or a glob)."""
 
@@ -133,54 +146,76 @@ class EventLog:
         events: DataFrame | None = None,
     ):
         self.spark = spark
-        self.path = path
-        if events is not None:
-            self.lines = lines
-            self.events = events
-            return
-        if lines is None:
-            paths = [path] if isinstance(path, str) else list(path)
-            path_col = F.col("_metadata.file_path")
-            lines = (
-                spark.read.option("recursiveFileLookup", "true")
-                .text(paths)
-                .where(refuse_unread(path_col))
-                .select(app_id_from_path(path_col).alias("app_id"), "value")
-            )
-        self.lines = lines
-        self.events = lines.filter(is_wanted(F.col("value"))).select("app_id", F.from_json("value", EVENT_SCHEMA).alias("e"))
+        self.paths = [path] if isinstance(path, str) else list(path)
+        if events is None:
+            if lines is None:
+                path_col = F.col("_metadata.file_path")
+                lines = (
+                    spark.read.option("recursiveFileLookup", "true")
+                    .text(self.paths)
+                    .where(refuse_unread(path_col))
+                    .select(log_name(path_col).alias("log"), "value")
+                )
+            events = parse(lines)
+        self.events = events
 
     @classmethod
     def from_lines(cls, spark: SparkSession, lines: DataFrame) -> EventLog:
-        """Build from a DataFrame of (app_id, value) lines, e.g. a stream's micro-batch."""
+        """Build from a DataFrame of (log, value) lines."""
         return cls(spark, [], lines=lines)
 
+    @classmethod
+    def from_events(cls, spark: SparkSession, events: DataFrame) -> EventLog:
+        """Build from a DataFrame of parsed events (log, e), as :func:`parse` gives."""
+        return cls(spark, [], events=events)
+
     def staged(self) -> EventLog:
         """The same log with its parsed events written once as Parquet (checkpoint dir).
 
         Without staging every table re-reads and re-parses the text; staged,
         the JSON is parsed once and each table reads only the nested columns
-        it needs from the columnar copy.
+        it needs from the columnar copy.  The copy is that of the files as
+        they are now: new or longer logs are staged anew.
         """
-        key = f"eventlog:{self.path!r}"
-        return EventLog(self.spark, self.path, lines=self.lines, events=staged(self.spark, key, lambda: self.events))
+        state = fingerprint(self.spark, *self.paths) if self.paths else uuid.uuid4().hex
+        key = f"eventlog:{self.paths!r}:{state}"
+        return EventLog(self.spark, self.paths, events=staged(self.spark, key, lambda: self.events))
+
+    def headers(self) -> DataFrame:
+        """One row per log that has its ApplicationStart event: log, app_id, attempt_id, start_ms."""
+        first = F.min_by(
+            F.struct(_e("App ID").alias("id"), _e("App Attempt ID").alias("attempt_id"), _e("Timestamp").alias("start_ms")),
+            F.struct(_e("Timestamp"), _e("App Attempt ID")),
+        )
+        starts = self.events.filter(_e("Event") == f"{PREFIX}ApplicationStart")
+        return (
+            starts.groupBy("log").agg(first.alias("a"))
+            .select("log", F.coalesce("a.id", "log").alias("app_id"), "a.attempt_id", "a.start_ms")
+        )
 
-    def _kind(self, kind: str) -> DataFrame:
-        return self.events.filter(_e("Event") == PREFIX + kind)
+    def latest_logs(self) -> DataFrame:
+        """(log, app_id, latest): every log with a header, and whether it is its application's latest attempt."""
+        heads = self.headers()
+        latest = heads.groupBy("app_id").agg(F.max_by("log", F.struct(*attempt_order(), "log")).alias("last"))
+        return heads.join(latest, "app_id").select("log", "app_id", (F.col("log") == F.col("last")).alias("latest"))
+
+    def _kind(self, kind: str, every_attempt: bool = False) -> DataFrame:
+        """(app_id, log, e) of one kind, from each application's latest attempt unless all are asked for."""
+        events = self.events.filter(_e("Event") == PREFIX + kind).join(self.latest_logs(), "log", "left")
+        if not every_attempt:
+            events = events.filter(F.coalesce("latest", F.lit(True)))
+        return events.select(F.coalesce("app_id", "log").alias("app_id"), "log", "e")
 
     def apps(self) -> DataFrame:
         """One row per app attempt: ids, name, start/end (ms), Spark version and user."""
-        start = self._kind("ApplicationStart").select(
-            "app_id",
-            _e("App Attempt ID").alias("attempt_id"),
-            _e("App Name").alias("app_name"),
-            _e("Timestamp").alias("start_ms"),
-            _e("User").alias("user"),
+        fields = [_e("App Name").alias("app_name"), _e("User").alias("user")]
+        start = self.headers().join(
+            self._kind("ApplicationStart", True).groupBy("log").agg(F.first(F.struct(*fields)).alias("a")), "log"
         )
-        end = self._kind("ApplicationEnd").groupBy("app_id").agg(F.max(_e("Timestamp")).alias("end_ms"))
-        version = self._kind("LogStart").groupBy("app_id").agg(F.max(_e("Spark Version")).alias("spark_version"))
-        return start.join(end, "app_id", "left").join(version, "app_id", "left").select(
-            "app_id", "attempt_id", "app_name", "start_ms", "end_ms", "spark_version", "user"
+        end = self._kind("ApplicationEnd", True).groupBy("log").agg(F.max(_e("Timestamp")).alias("end_ms"))
+        version = self._kind("LogStart", True).groupBy("log").agg(F.max(_e("Spark Version")).alias("spark_version"))
+        return start.join(end, "log", "left").join(version, "log", "left").select(
+            "app_id", "attempt_id", "a.app_name", "start_ms", "end_ms", "spark_version", "a.user"
         )
 
     def jobs(self) -> DataFrame:
@@ -222,12 +257,19 @@ class EventLog:
             F.explode(F.transform(_e("Stage IDs"), lambda x: x.cast("bigint"))).alias("stage_id"),
         )
 
-    def tasks(self) -> DataFrame:
-        """One row per finished task attempt with its run time and byte / GC metrics."""
+    def tasks(self, every_attempt: bool = False) -> DataFrame:
+        """One row per finished task attempt with its run time and byte / GC metrics.
+
+        ``every_attempt`` gives the tasks of all logs, by log instead of app_id.
+        """
         m = _e("Task Metrics")
         info = _e("Task Info")
-        return self._kind("TaskEnd").select(
-            "app_id",
+        if every_attempt:
+            ended = self.events.filter(_e("Event") == f"{PREFIX}TaskEnd")
+        else:
+            ended = self._kind("TaskEnd")
+        return ended.select(
+            "log" if every_attempt else "app_id",
             _e("Stage ID").cast("bigint").alias("stage_id"),
             _e("Stage Attempt ID").alias("stage_attempt"),
             info.getField("Task ID").alias("task_id"),

@@ -6,6 +6,9 @@ share (the 4-way trip join).  The table is written under
 ``<spark checkpoint dir>/staged/<key hash>`` (shared storage on a cluster,
 so a lost executor costs nothing: the files outlive it), then read back,
 which also cuts the lineage of every query that uses it.
+
+The key of a table derived from files holds their :func:`fingerprint`, so a
+table that was rewritten, or a folder with new files, is staged anew.
 """
 
 from __future__ import annotations
@@ -14,12 +17,23 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.session import ensure_checkpoint_dir
 
 _STAGED: dict[tuple[str, str], DataFrame] = {}
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Number, names, lengths and times of all files under ``paths``, as a short text; no file is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    row = files.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")), F.lit(0)).alias("h"),
+    ).first()
+    return f"{row['n']}:{row['h']}"
+
+
 def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
     """``build()`` written once per application under a path derived from ``key``, read back."""
     memo = (spark.sparkContext.applicationId, key)
@@ -29,4 +43,3 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Dat
         build().write.mode("overwrite").parquet(path)
         _STAGED[memo] = spark.read.parquet(path)
     return _STAGED[memo]
-

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import ROOT, write_event_logs
 from fleetlens.operators import runmetrics as rm
-from fleetlens.sources.eventlog import EventLog, app_id_from_path, dump_tables
+from fleetlens.sources.eventlog import EventLog, log_name, dump_tables
 from fleetlens.streaming.refresh import RunMetricsRefresh
 
 
@@ -21,14 +21,14 @@ def hand_log(spark, scratch):
     return EventLog(spark, root).tables()
 
 
-def test_app_id_from_path(spark):
+def test_log_name(spark):
     paths = [
         "file:/x/eventlog_v2_local-17/events_2_local-17.zstd",
         "file:/x/app-2024-0001.lz4.inprogress",
         "file:/x/local-99",
     ]
     got = [r.a for r in spark.createDataFrame([(p,) for p in paths], "p string")
-           .select(app_id_from_path(F.col("p")).alias("a")).collect()]
+           .select(log_name(F.col("p")).alias("a")).collect()]
     assert got == ["local-17", "app-2024-0001", "local-99"]
 
 
