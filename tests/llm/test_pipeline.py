@@ -129,3 +129,16 @@ def test_language_and_packing_stages_on_edge_rows(spark):
     assert sum(p.length for p in pieces) == sum(len(encode(r[1] or "")) + 1 for r in rows)
     assert corpus_pipeline.packing_stage(spark, docs.limit(0), SF).collect() == []
     assert kept(corpus_pipeline.language_stage(spark, docs.limit(0), SF)) == []
+
+
+def test_rows_of_files_are_numbered_without_a_copy(spark, scratch):
+    import corpus_pipeline
+
+    frame(spark, [(i % 3, f"text {i}") for i in range(50)]).write.parquet(f"{scratch}/docs")
+    docs = spark.read.parquet(f"{scratch}/docs")
+    keyed, key = corpus_pipeline._keyed(spark, docs)
+    assert key == "row_" and keyed.columns == [*docs.columns, key]
+    first = {r[key]: r.text for r in keyed.collect()}
+    assert len(first) == 50
+    assert {r[key]: r.text for r in keyed.select("text", key).repartition(5).collect()} == first
+    assert any(f.startswith(f"file:{scratch}") or f.startswith(f"file://{scratch}") for f in keyed.inputFiles())
