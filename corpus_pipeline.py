@@ -12,11 +12,12 @@ rejects), extra columns are carried along under any name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
-from fleetlens.llm.common import Workspace, safe_join_ids
+from fleetlens.llm.common import Workspace, safe_join_ids, small_side
 from fleetlens.llm.queries import tokenizer_files
 
 # A text is rejected when no language holds this share of its letter n-grams: far below any prose of a known language.
@@ -36,11 +37,21 @@ def _free(docs: DataFrame, name: str) -> str:
 def _keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column that numbers its rows, and that column's name.
 
-    Written, so that a row has the same number in the operator that judges it
-    and in the join that drops it, also when a task is run again.
+    A row read from Parquet is known by its file's number and its place in the
+    file, which are the same whenever and wherever it is read, so no text is
+    copied.  A frame without files is written first.
     """
     key = _free(docs, "row")
-    return Workspace(spark, "rows").save(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+    work = Workspace(spark, "rows")
+    try:
+        path = _free(docs, "path")
+        placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(key))
+    except AnalysisException:  # not a scan of files
+        return work.save(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+    number = F.row_number().over(Window.orderBy(path)) - 1  # one row a file
+    files = work.save(placed.select(path).distinct().withColumn("file", number.cast("long")), "files")
+    numbered = placed.join(small_side(files.toDF(path, f"{key}_file"), 512), path)
+    return numbered.withColumn(key, F.shiftleft(F.col(f"{key}_file"), 40) + F.col(key)).select(*docs.columns, key), key
 
 
 def _without(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
