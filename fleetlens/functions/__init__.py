@@ -1,5 +1,6 @@
 """Column expressions shared by the operators (all JVM-side built-ins)."""
 
+from fleetlens.functions.exact import mean_of, means_by, merged_sum, partial_sum, sum_of  # noqa: F401
 from fleetlens.functions.scalars import (  # noqa: F401
     COMPARE_METRICS,
     COUNT_METRICS,
@@ -14,7 +15,6 @@ from fleetlens.functions.scalars import (  # noqa: F401
     duration,
     gmt_to_timestamp,
     half_up,
-    mean_half_up,
     millis_to_timestamp,
     payment_method,
     route_key,

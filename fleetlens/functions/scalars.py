@@ -73,25 +73,12 @@ def route_key(pu: str | Column, do: str | Column) -> Column:
 
 
 def half_up(x: str | Column, digits: int = 0) -> Column:
-    """Round half away from zero at ``digits`` decimals, on the double's own value, as double.
+    """Round half away from zero at ``digits`` decimals, as double.
 
-    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``, the same arithmetic in any engine.
+    The double is rounded as the decimal number its text shows (1.005 gives
+    1.01 at two digits); infinities and NaN stay what they are.
     """
-    scale = float(10**digits)
-    x = _c(x).cast("double")
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
-
-
-def mean_half_up(x: str | Column, digits: int = 2) -> Column:
-    """Aggregate: rounded mean of ``x`` (NULLs skipped), half up.
-
-    Stands for ``round(avg(x), d)``.  The sum is taken in the column's own
-    type, so a decimal money column is summed exactly and only the final
-    ``sum / count`` is a double; that makes the last digit independent of
-    the order in which partitions are combined.
-    """
-    x = _c(x)
-    return half_up(F.sum(x).cast("double") / F.count(x), digits)
+    return F.round(_c(x).cast("double"), digits)
 
 
 def millis_to_timestamp(ms: str | Column) -> Column:

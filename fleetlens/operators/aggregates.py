@@ -4,8 +4,8 @@ Every summary is a single ``groupBy().agg()`` so Spark plans a partial
 (map-side) aggregate, one exchange on the grouping keys, and a final
 aggregate; hot keys are collapsed before the shuffle, so a key holding a third
 of the rows costs one partial row per input partition, not a third of the data.
-Rounded means use :func:`fleetlens.functions.mean_half_up` (exact decimal sums
-for money columns).  Final ``orderBy`` is kept only where the reference
+Sums and rounded means of daily totals and vendors are exact whatever the column
+type (:mod:`fleetlens.functions.exact`).  Final ``orderBy`` is kept only where the reference
 reports ordered output; ties get an explicit tie-break.
 """
 
@@ -34,15 +34,18 @@ def daily_totals(
     distance_col: str = "trip_distance",
 ) -> DataFrame:
     """Per day: trips, revenue rounded to whole units, mean distance (2 decimals)."""
-    return (
-        trips.groupBy(date_col)
-        .agg(
-            F.count("*").alias("trips"),
-            F.round(F.sum(amount_col), 0).cast("double").alias("revenue"),
-            fx.mean_half_up(distance_col, 2).alias("avg_miles"),
-        )
-        .orderBy(date_col)
+    totals = trips.groupBy(date_col).agg(
+        F.count("*").alias("trips"),
+        fx.partial_sum(trips, amount_col).alias("revenue"),
+        fx.partial_sum(trips, distance_col).alias("miles"),
+        F.count(distance_col).alias("measured"),
     )
+    return totals.select(
+        date_col,
+        "trips",
+        fx.mean_of(totals, "revenue", F.lit(1), 0).alias("revenue"),
+        fx.mean_of(totals, "miles", "measured", 2).alias("avg_miles"),
+    ).orderBy(date_col)
 
 
 def hourly_stats(
@@ -63,14 +66,14 @@ def hourly_stats(
     """
     view = f"trips_{uuid.uuid4().hex[:12]}"
     trips.createOrReplaceTempView(view)
-    half_up_mean = "CAST(FLOOR(CAST(SUM({c}) AS DOUBLE) / COUNT({c}) * 10 + 0.5) / 10 AS DOUBLE)"
+    rounded_mean = "CAST(ROUND(TRY_DIVIDE(SUM({c}), COUNT({c})), 1) AS DOUBLE)"
     out = trips.sparkSession.sql(
         f"""
         SELECT {day_col} AS day_of_week,
                {hour_col} AS pickup_hour,
                COUNT(*) AS trips,
-               {half_up_mean.format(c=speed_col)} AS avg_mph,
-               {half_up_mean.format(c=tip_col)} AS avg_tip_pct,
+               {rounded_mean.format(c=speed_col)} AS avg_mph,
+               {rounded_mean.format(c=tip_col)} AS avg_tip_pct,
                PERCENTILE_APPROX({duration_col}, 0.5, {int(accuracy)}) AS median_minutes
         FROM {view}
         GROUP BY {day_col}, {hour_col}
@@ -104,7 +107,7 @@ def payment_mix(
 
 def mean_by_key(trips: DataFrame, key: str, value: str, out: str, digits: int = 2) -> DataFrame:
     """Rounded mean of ``value`` per ``key`` (e.g. mean fare per vendor)."""
-    return trips.groupBy(key).agg(fx.mean_half_up(value, digits).alias(out))
+    return fx.means_by(trips, [key], {out: (value, digits)})
 
 
 def avg_fare_by_vendor(trips: DataFrame) -> DataFrame:

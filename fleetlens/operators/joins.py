@@ -58,14 +58,16 @@ def borough_flows(
     join hint, no session-wide setting touched).
     """
     per_pair = trips.groupBy("pu_location_id", "do_location_id").agg(
-        F.count("*").alias("n"), F.sum(amount_col).alias("amount"), F.count(amount_col).alias("amounts")
+        F.count("*").alias("n"), fx.partial_sum(trips, amount_col).alias("amount"), F.count(amount_col).alias("amounts")
     )
-    mean = F.sum("amount").cast("double") / F.sum("amounts")
-    return (
+    flows = (
         with_zones(per_pair, zones, ("pu", "do"), strategy)
         .groupBy("pu_borough", "do_borough")
-        .agg(F.sum("n").alias("trips"), fx.half_up(mean, 2).alias("avg_total"))
-        .orderBy(F.desc("trips"), "pu_borough", "do_borough")
+        .agg(F.sum("n").alias("trips"), fx.merged_sum(per_pair, "amount").alias("amount"), F.sum("amounts").alias("amounts"))
+    )
+    mean = fx.mean_of(flows, "amount", "amounts", 2)
+    return flows.select("pu_borough", "do_borough", "trips", mean.alias("avg_total")).orderBy(
+        F.desc("trips"), "pu_borough", "do_borough"
     )
 
 

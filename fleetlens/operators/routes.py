@@ -17,7 +17,7 @@ from fleetlens.operators.aggregates import ROUTE_COLUMNS, with_route
 
 
 def route_stats(trips: DataFrame) -> DataFrame:
-    """Distinct trips grouped by (route, pickup id, day): trips, distance sum, rounded mean.
+    """Distinct trips grouped by (route, pickup id, day): trips, exact distance sum, rounded mean.
 
     ``trips`` counts *distinct* trips (equal-looking trips collapse first).
     ``pu_location_id`` is implied by the route, so grouping by it too changes no group.
@@ -26,15 +26,13 @@ def route_stats(trips: DataFrame) -> DataFrame:
     # (a narrower shuffle) and the key is built after it; both ids stay in the distinct, so
     # rows with a NULL id collapse exactly as they would with the key included.
     base = [c for c in ROUTE_COLUMNS if c != "route"]
-    return (
-        with_route(trips.select(*base).distinct())
-        .groupBy("route", "pu_location_id", "pickup_date")
-        .agg(
-            F.count("*").alias("trips"),
-            F.sum("trip_distance").alias("distance_sum"),
-            fx.mean_half_up("trip_distance", 2).alias("avg_miles"),
-        )
+    distinct = with_route(trips.select(*base).distinct())
+    stats = distinct.groupBy("route", "pu_location_id", "pickup_date").agg(
+        F.count("*").alias("trips"),
+        fx.partial_sum(distinct, "trip_distance").alias("distance_sum"),
+        F.count("trip_distance").alias("measured"),
     )
+    return stats.withColumn("avg_miles", fx.mean_of(stats, "distance_sum", "measured", 2))
 
 
 def route_daily(trips: DataFrame) -> DataFrame:
@@ -50,13 +48,22 @@ def route_rollup(trips: DataFrame, zones: DataFrame) -> DataFrame:
     the mean over trips, from distance sums and counts carried up.
     """
     pu_zones = zones.select(F.col("LocationID").alias("pu_location_id"), F.col("Borough").alias("pu_borough"))
-    return (
-        route_stats(trips)
-        .join(pu_zones, "pu_location_id")
+    # a rounded mean is a number of hundredths, so its sum is exact as a decimal
+    stats = route_stats(trips).withColumn("avg_miles", F.col("avg_miles").cast("decimal(18,2)"))
+    rolled = (
+        stats.join(pu_zones, "pu_location_id")
         .groupBy("pu_borough", "pickup_date")
         .agg(
             F.sum("trips").alias("trips"),
-            fx.mean_half_up(F.col("avg_miles").cast("decimal(18,2)"), 2).alias("avg_miles"),
-            fx.half_up(F.sum("distance_sum") / F.sum("trips"), 2).alias("avg_miles_weighted"),
+            F.sum("avg_miles").alias("miles"),
+            F.count("avg_miles").alias("routes"),
+            fx.merged_sum(stats, "distance_sum").alias("distance_sum"),
         )
     )
+    return rolled.select(
+        "pu_borough",
+        "pickup_date",
+        "trips",
+        fx.mean_of(rolled, "miles", "routes", 2).alias("avg_miles"),
+        fx.mean_of(rolled, "distance_sum", "trips", 2).alias("avg_miles_weighted"),
+    )

@@ -4,8 +4,9 @@ Written independently of the Spark code, from the query definitions, against
 the driver's tables registered as views.  Conventions that make the two
 engines agree bit for bit:
 
-* rounded means are ``floor(cast(sum(x) as double) / count(x) * 10^d + 0.5) / 10^d``
-  (:func:`fleetlens.functions.mean_half_up`), money summed as exact decimals;
+* rounded means are computed in whole millionths with integer division, half away from
+  zero, as :mod:`fleetlens.functions.exact` does in decimals; single doubles are rounded
+  as the decimal number their text shows;
 * DuckDB's ``hour`` is BIGINT and ``sum(bigint)`` HUGEINT: cast back;
 * every LIMIT and running total has a total order.
 """
@@ -13,14 +14,24 @@ engines agree bit for bit:
 from __future__ import annotations
 
 
+def ratio_sql(total: str, count: str, digits: int) -> str:
+    """``total`` (whole millionths) / ``count`` to ``digits`` decimals, in integers."""
+    unit = f"({count}) * 1000000"
+    units = f"((ABS({total}) * {2 * 10**digits} + {unit}) // (2 * {unit}))"
+    return f"CAST(SIGN({total}) * {units} / {10**digits}.0 AS DOUBLE)"
+
+
+def millionths_sql(col: str) -> str:
+    """Sum of a column of at most six decimals, in whole millionths."""
+    return f"SUM(CAST(({col}) * 1000000 AS HUGEINT))"
+
+
 def mean_sql(col: str, digits: int) -> str:
-    scale = 10**digits
-    return f"CAST(FLOOR(CAST(SUM({col}) AS DOUBLE) / COUNT({col}) * {scale} + 0.5) / {scale} AS DOUBLE)"
+    return ratio_sql(millionths_sql(col), f"COUNT({col})", digits)
 
 
 def half_up_sql(expr: str, digits: int) -> str:
-    scale = 10**digits
-    return f"CAST(FLOOR(({expr}) * {scale} + 0.5) / {scale} AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 TRIPS_RAW = """
@@ -99,13 +110,13 @@ route_rows AS (
 ),
 route_stats AS (
   SELECT route, pu_location_id, pickup_date, COUNT(*) AS trips,
-         SUM(trip_distance) AS distance_sum, {mean_sql('trip_distance', 2)} AS avg_miles
+         {millionths_sql('trip_distance')} AS distance_sum, {mean_sql('trip_distance', 2)} AS avg_miles
   FROM route_rows GROUP BY route, pu_location_id, pickup_date
 ),
 route_rollup AS (
   SELECT z.Borough AS pu_borough, r.pickup_date, CAST(SUM(r.trips) AS BIGINT) AS trips,
          {mean_sql('CAST(r.avg_miles AS DECIMAL(18,2))', 2)} AS avg_miles,
-         {half_up_sql('SUM(r.distance_sum) / SUM(r.trips)', 2)} AS avg_miles_weighted
+         {ratio_sql('SUM(r.distance_sum)', 'SUM(r.trips)', 2)} AS avg_miles_weighted
   FROM route_stats r JOIN zones z ON r.pu_location_id = z.LocationID
   GROUP BY z.Borough, r.pickup_date
 )"""
