@@ -8,9 +8,11 @@ speed uses the *rounded* duration, exactly as it is stored.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fleetlens import functions as fx
@@ -110,14 +112,64 @@ def clean_trips(raw: DataFrame, rules: CleanRules = TAXI_RULES, carry: tuple[str
     return enrich(with_duration(standardize(raw, carry), rules).filter(keep_rule(rules)), rules)
 
 
-def clean_reconcile(raw: DataFrame, rules: CleanRules = TAXI_RULES) -> DataFrame:
-    """Rows in, kept and dropped, in one pass over the input (one row)."""
+def clean_reconcile(
+    raw: DataFrame, rules: CleanRules = TAXI_RULES, bad: dict[str, Column] | None = None
+) -> DataFrame:
+    """Rows in, kept and dropped (and bad per rule of ``bad``), in one pass over the input (one row)."""
     keep = F.coalesce(keep_rule(rules), F.lit(False))
-    return (
-        with_duration(standardize(raw), rules)
-        .agg(F.count("*").alias("rows_in"), F.count_if(keep).alias("rows_kept"))
-        .withColumn("rows_dropped", F.col("rows_in") - F.col("rows_kept"))
+    broken = [F.count_if(F.coalesce(rule, F.lit(False))).alias(f"bad_{name}") for name, rule in (bad or {}).items()]
+    counted = with_duration(standardize(raw), rules).agg(
+        F.count("*").alias("rows_in"), F.count_if(keep).alias("rows_kept"), *broken
     )
+    dropped = (F.col("rows_in") - F.col("rows_kept")).alias("rows_dropped")
+    return counted.select("rows_in", "rows_kept", dropped, *(f"bad_{name}" for name in bad or {}))
+
+
+def observed_clean(
+    raw: DataFrame, rules: CleanRules = TAXI_RULES, bad: dict[str, Column] | None = None
+) -> tuple[DataFrame, Observation]:
+    """:func:`clean_trips`, with counts of all its input rows taken as it runs.
+
+    The observation holds ``rows_in``, ``rows_kept`` and one count per rule of
+    ``bad`` (a Column over the standardised trip, TRUE for a bad row).  Counting
+    every row means that the cleaning filter is not pushed into the scan.
+
+    Spark adds an observed count again when it computes a lost shuffle partition
+    anew; ``parts`` and ``parts_seen`` (distinct partitions, and partitions as
+    counted) tell whether that happened, see :func:`counts_of`.
+    """
+    counts = Observation(f"clean-{uuid.uuid4().hex}")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == 0
+    std = with_duration(standardize(raw), rules).withColumns({"_first": first, "_part": F.spark_partition_id()})
+    observed = std.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.coalesce(keep_rule(rules), F.lit(False))).alias("rows_kept"),
+        F.count_if("_first").alias("parts_seen"),
+        F.size(F.collect_set(F.when(F.col("_first"), F.col("_part")))).alias("parts"),
+        *(F.count_if(F.coalesce(rule, F.lit(False))).alias(f"bad_{name}") for name, rule in (bad or {}).items()),
+    )
+    return enrich(observed.drop("_first", "_part").filter(keep_rule(rules)), rules), counts
+
+
+def counts_of(observation: Observation) -> dict[str, int] | None:
+    """The observed counts with ``rows_dropped``; None where they are to be counted anew.
+
+    That is after a lost executor, when a partition was counted twice, and
+    where Spark dropped the counting node from a plan it found to be empty.
+    """
+    try:
+        counts = dict(observation.get)
+    except Py4JJavaError:  # no counts arrived
+        return None
+    if not counted_once(counts):
+        return None
+    return counts | {"rows_dropped": counts["rows_in"] - counts["rows_kept"]}
+
+
+def counted_once(counts: dict[str, int]) -> bool:
+    """Whether every partition's rows entered the observed counts exactly once."""
+    return bool(counts) and counts["parts_seen"] == counts["parts"]
 
 
 def write_clean(clean: DataFrame, path: str) -> None:

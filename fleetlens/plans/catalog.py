@@ -13,15 +13,20 @@ once per application and every report reads it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens import functions as fx
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins, layout, quality, routes, runmetrics, windows
+from fleetlens.plans import trip_reports
+from fleetlens.session import ensure_checkpoint_dir
 from fleetlens.sources import fixtures as fix
 from fleetlens.sources.staging import fingerprint, staged
+from fleetlens.sources.trips import read_clean_trips
 
 RULES = clean.FIXTURE_RULES
 # Fixture fares are order-line prices (up to ~100k), so the "looks wrong" fare is higher.
@@ -63,6 +68,53 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int] | None]:
+    """The cleaned trips written by month and read back, and the counts observed by that write."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clean-{uuid.uuid4().hex}"
+    rules = quality.trip_rules(FIXTURE_MAX_FARE)
+    table, observation = clean.observed_clean(fix.trips_raw(spark, sf_dir), RULES, rules)
+    clean.write_clean(table, path)
+    return read_clean_trips(spark, path), clean.counts_of(observation)
+
+
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, kept and dropped and bad rows per rule, as the write of the cleaned table saw them."""
+    rules = quality.trip_rules(FIXTURE_MAX_FARE)
+    _, counts = clean_table(spark, sf_dir)
+    if counts is None:
+        return clean.clean_reconcile(fix.trips_raw(spark, sf_dir), RULES, rules)
+    names = ["rows_in", "rows_kept", "rows_dropped", *(f"bad_{r}" for r in rules)]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+def clean_table_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per month folder of the written cleaned table: rows, revenue and the folder's days."""
+    table, _ = clean_table(spark, sf_dir)
+    months = table.groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        fx.partial_sum(table, "total_amount").alias("revenue"),
+        F.min("pickup_date").alias("first_day"),
+        F.max("pickup_date").alias("last_day"),
+    )
+    revenue = fx.mean_of(months, "revenue", F.lit(1), 2).alias("revenue")
+    return months.select("pickup_month", "trips", revenue, "first_day", "last_day")
+
+
+def trip_report_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every additive trip report from one scan, in one table."""
+    cube = trip_reports.report_cube(trips(spark, sf_dir), RULES.duration_col, 60)
+    keys = sorted({k for ks in trip_reports.CUBE_SETS.values() for k in ks})
+    return cube.select(
+        "report",
+        *keys,
+        "trips",
+        "long_trips",
+        fx.mean_of(cube, "revenue", F.lit(1), 0).alias("revenue"),
+        fx.mean_of(cube, "miles", "measured", 2).alias("avg_miles"),
+        fx.mean_of(cube, "fare", "fares", 2).alias("avg_fare"),
+    )
+
+
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips(spark, sf_dir).groupBy("pickup_date").count()
 
@@ -83,6 +135,9 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["clean_reconcile"] = lambda s, d: clean.clean_reconcile(fix.trips_raw(s, d), RULES)
     q["daily_totals"] = lambda s, d: agg.daily_totals(trips(s, d))
     q["hourly_stats"] = lambda s, d: agg.hourly_stats(event_trips(s, d))
+    q["ingest_counts"] = ingest_counts
+    q["clean_table_months"] = clean_table_months
+    q["trip_report_cube"] = trip_report_cube
     q["payment_mix"] = lambda s, d: agg.payment_mix(trips(s, d))
     q["avg_fare_by_vendor"] = lambda s, d: agg.avg_fare_by_vendor(trips(s, d))
     q["long_trips_by_month"] = lambda s, d: agg.long_trips_by_month(trips(s, d), RULES.duration_col, 60)

@@ -167,6 +167,34 @@ def trip_oracles() -> dict[str, str]:
 SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE {CLEAN_WHERE}) AS rows_kept,
        COUNT(*) - COUNT(*) FILTER (WHERE {CLEAN_WHERE}) AS rows_dropped
 FROM trips"""
+    bad = ",\n       ".join(
+        f"COUNT(*) FILTER (WHERE {pred}) AS bad_{name}" for name, pred in _rules_sql(FIXTURE_MAX_FARE)
+    )
+    o["ingest_counts"] = o["clean_reconcile"].replace("\nFROM trips", f",\n       {bad}\nFROM trips")
+    o["clean_table_months"] = W + f"""
+SELECT pickup_month, COUNT(*) AS trips, {ratio_sql(millionths_sql('total_amount'), '1', 2)} AS revenue,
+       MIN(pickup_date) AS first_day, MAX(pickup_date) AS last_day
+FROM trips WHERE {CLEAN_WHERE} GROUP BY pickup_month"""
+    keys = ["bucket", "payment_method", "pickup_date", "pickup_month", "pu_location_id", "vendor_id"]
+    o["trip_report_cube"] = W + """,
+wide AS (
+  SELECT *, CASE WHEN trip_distance < 1 THEN 'short' WHEN trip_distance < 5 THEN 'medium' ELSE 'long' END AS bucket FROM trips
+)
+""" + "\nUNION ALL\n".join(
+        f"""SELECT '{report}' AS report, {', '.join(k if k in by else f"(SELECT {k} FROM wide WHERE FALSE) AS {k}" for k in keys)},
+       COUNT(*) AS trips, COUNT(*) FILTER (WHERE trip_days > 60) AS long_trips,
+       {ratio_sql(millionths_sql('total_amount'), '1', 0)} AS revenue,
+       {mean_sql('trip_distance', 2)} AS avg_miles, {mean_sql('fare_amount', 2)} AS avg_fare
+FROM wide GROUP BY {', '.join(by)}"""
+        for report, by in [
+            ("daily_totals", ["pickup_date"]),
+            ("payment_mix", ["pickup_month", "payment_method"]),
+            ("avg_fare_by_vendor", ["vendor_id"]),
+            ("zone_counts", ["pu_location_id"]),
+            ("distance_bucket", ["bucket"]),
+            ("long_trips_by_month", ["pickup_month"]),
+        ]
+    )
     o["daily_totals"] = W + f"""
 SELECT pickup_date, COUNT(*) AS trips, CAST(ROUND(SUM(total_amount), 0) AS DOUBLE) AS revenue,
        {mean_sql('trip_distance', 2)} AS avg_miles
