@@ -38,20 +38,10 @@ def rows_per_partition(df: DataFrame, n: int | None = None) -> DataFrame:
     )
 
 
-def layout_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """Rows each partition of :func:`hash_layout` would get (``partition``, ``rows``), without moving a row.
-
-    Spark places a row at ``pmod(hash(key), n)``, so a partial count by that
-    number answers for any key, however skewed.
-    """
-    spark = df.sparkSession
-    counts = df.groupBy(F.pmod(F.hash(key), F.lit(n)).alias("partition")).agg(F.count("*").alias("rows"))
-    every = spark.range(n).select(F.col("id").cast("int").alias("partition"))
-    return (
-        every.join(counts, "partition", "left")
-        .select("partition", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
-        .orderBy("partition")
-    )
+def partitions_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Per value of ``key``: its rows and the number of partitions of ``df`` that hold any (1 in a layout by that key)."""
+    held = df.groupBy(key, F.spark_partition_id().alias("__partition")).agg(F.count("*").alias("__n"))
+    return held.groupBy(key).agg(F.sum("__n").alias("rows"), F.count("*").alias("partitions"))
 
 
 def key_skew(df: DataFrame, key: str) -> DataFrame:

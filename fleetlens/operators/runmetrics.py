@@ -85,6 +85,8 @@ def group_quantile(
 
 # --- per-stage and per-app tables -----------------------------------------------------------
 
+# Stages that a job lists but never submitted: their job still runs, or ended without them.
+NOT_SUBMITTED = ["PENDING", "SKIPPED"]
 TASK_TOTALS = ["input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "gc_ms"]
 
 
@@ -259,10 +261,15 @@ def skipped_stages(job_stages: DataFrame, stages: DataFrame, jobs: DataFrame | N
     if jobs is not None:
         ended = jobs.where("status <> 'RUNNING'").select("app_id", "job_id")
         job_stages = job_stages.join(ended, ["app_id", "job_id"], "left_semi")
-    submitted = stages.select("app_id", "stage_id").distinct()
+    submitted = stages.where(~F.col("status").isin(NOT_SUBMITTED)).select("app_id", "stage_id").distinct()
     return job_stages.select("app_id", "job_id", "stage_id").join(submitted, ["app_id", "stage_id"], "left_anti")
 
 
+def stage_states(stages: DataFrame) -> DataFrame:
+    """Stages and their tasks per application and status."""
+    return stages.groupBy("app_id", "status").agg(F.count("*").alias("stages"), F.sum("num_tasks").alias("tasks"))
+
+
 def job_status_label(status: str | Column) -> Column:
     """Display label for a job status; unknown statuses pass through."""
     status = F.col(status) if isinstance(status, str) else status

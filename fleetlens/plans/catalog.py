@@ -34,7 +34,7 @@ FIXTURE_MAX_FARE = 100_000
 SKEW_KEYS = ["payment_method", "pickup_date"]
 LAYOUT_PARTITIONS = 16
 # Keys without a SQL oracle (the driver checks their row counts only).
-ROWS_ONLY: set[str] = set()
+ROWS_ONLY: set[str] = {"layout_partition_rows"}
 
 
 def _staged_from(spark: SparkSession, sf_dir: str, label: str, tables: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -165,7 +165,12 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["route_daily"] = lambda s, d: routes.route_daily(trips(s, d))
     q["route_rollup"] = lambda s, d: routes.route_rollup(trips(s, d), zones(s, d))
     q["layout_skew"] = lambda s, d: layout.layout_skew(trips(s, d), SKEW_KEYS)
-    q["layout_partition_rows"] = lambda s, d: layout.layout_rows(trips(s, d), LAYOUT_PARTITIONS, "pickup_date")
+    q["layout_partition_rows"] = lambda s, d: layout.rows_per_partition(
+        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "pickup_date"), LAYOUT_PARTITIONS
+    )
+    q["layout_key_partitions"] = lambda s, d: layout.partitions_per_key(
+        layout.hash_layout(trips(s, d), LAYOUT_PARTITIONS, "pickup_date"), "pickup_date"
+    )
     q["quality_report"] = lambda s, d: quality.quality_report(trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE))
     q["quality_quarantine"] = lambda s, d: quality.quality_quarantine(
         trips(s, d), quality.trip_rules(FIXTURE_MAX_FARE)
@@ -184,7 +189,7 @@ def event_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def order_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """jobs / job_stages / stages over ``orders`` and ``lineitem``; the per-order lineitem
+    """apps / jobs / job_stages / stages over ``orders`` and ``lineitem``; the per-order lineitem
     aggregate is staged once per application."""
     lines = _staged_from(spark, sf_dir, "order_lines", "lineitem", lambda: fix.order_lines(spark, sf_dir))
     return fix.order_run_tables(spark, sf_dir, lines)
@@ -216,7 +221,13 @@ def run_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         t = order_run(s, d)
         return runmetrics.skipped_stages(t["job_stages"], t["stages"], t["jobs"])
 
+    def order_summary(s, d):
+        t = order_run(s, d)
+        return runmetrics.app_summary(t["apps"], t["jobs"], t["stages"], 1)
+
     return {
+        "run_stage_states": lambda s, d: runmetrics.stage_states(order_run(s, d)["stages"]),
+        "run_order_summary": order_summary,
         "run_app_summary": lambda s, d: _event_summary(s, d, 1),
         "run_app_detail": detail,
         "run_stage_skew": skew,

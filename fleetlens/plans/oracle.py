@@ -258,20 +258,8 @@ FROM route_rollup"""
     o["route_daily"] = W + "," + ROUTE_STATS + "\nSELECT route, pickup_date, trips, avg_miles FROM route_stats"
     o["route_rollup"] = W + "," + ROUTE_STATS + "\nSELECT * FROM route_rollup"
     o["layout_skew"] = W + "\n" + "\nUNION ALL\n".join(_skew_sql(k) for k in ["payment_method", "pickup_date"])
-    # Spark's hash of a date: 32-bit Murmur3 of its days since 1970, seed 42; all values kept modulo 2^32
-    o["layout_partition_rows"] = W + """
-, k1 AS (SELECT ((date_diff('day', DATE '1970-01-01', CAST(pickup_date AS DATE)) + 4294967296) % 4294967296
-                 * 3432918353::HUGEINT) % 4294967296 AS v FROM trips)
-, k2 AS (SELECT (((v * 32768) % 4294967296 + v // 131072) * 461845907::HUGEINT) % 4294967296 AS v FROM k1)
-, h1 AS (SELECT xor(42::BIGINT, v::BIGINT) AS v FROM k2)
-, h2 AS (SELECT (((v::HUGEINT * 8192) % 4294967296 + v // 524288) * 5 + 3864292196) % 4294967296 AS v FROM h1)
-, f1 AS (SELECT xor(v::BIGINT, 4::BIGINT) AS v FROM h2)
-, f2 AS (SELECT (xor(v, v // 65536)::HUGEINT * 2246822507) % 4294967296 AS v FROM f1)
-, f3 AS (SELECT (xor(v::BIGINT, v::BIGINT // 8192)::HUGEINT * 3266489909) % 4294967296 AS v FROM f2)
-, f4 AS (SELECT xor(v::BIGINT, v::BIGINT // 65536) AS v FROM f3)
-, p AS (SELECT CAST((CASE WHEN v >= 2147483648 THEN v - 4294967296 ELSE v END % 16 + 16) % 16 AS INTEGER) AS partition FROM f4)
-SELECT CAST(g AS INTEGER) AS partition, COUNT(p.partition) AS rows
-FROM range(16) AS r(g) LEFT JOIN p ON p.partition = g GROUP BY g"""
+    o["layout_key_partitions"] = W + """
+SELECT pickup_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS partitions FROM trips GROUP BY pickup_date"""
     rules = _rules_sql(FIXTURE_MAX_FARE)
     o["quality_report"] = W + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE {pred}) AS bad_rows, COUNT(*) AS rows FROM trips"
@@ -406,6 +394,23 @@ SELECT j.app_id, j.job_id, j.description,
        j.num_tasks, COALESCE(k.n, 0) AS skipped_stages, j.name
 FROM jobs j LEFT JOIN (SELECT app_id, job_id, COUNT(*) AS n FROM skipped GROUP BY app_id, job_id) k
   ON j.app_id = k.app_id AND j.job_id = k.job_id"""
+    states = ORDER_RUN + """,
+states AS (
+  SELECT j.app_id, j.num_tasks,
+         CASE WHEN EXISTS (SELECT 1 FROM lines l WHERE l.l_orderkey = j.job_id) THEN 'COMPLETE'
+              WHEN j.status = 'RUNNING' THEN 'PENDING' ELSE 'SKIPPED' END AS status
+  FROM jobs j
+)"""
+    o["run_stage_states"] = states + """
+SELECT app_id, status, COUNT(*) AS stages, CAST(SUM(num_tasks) AS BIGINT) AS tasks FROM states GROUP BY app_id, status"""
+    o["run_order_summary"] = states + f"""
+SELECT j.app_id AS app, j.app_id,
+       {half_up_sql('(MAX(j.completion_ms) - MIN(j.submission_ms)) / CAST(1000 AS DOUBLE)', 1)} AS duration_s,
+       COUNT(*) AS jobs, COUNT(*) FILTER (WHERE j.status = 'FAILED') AS failed_jobs,
+       (SELECT COUNT(*) FROM states WHERE status <> 'SKIPPED') AS stages,
+       (SELECT CAST(SUM(num_tasks) AS BIGINT) FROM states WHERE status <> 'SKIPPED') AS tasks,
+       CAST(0 AS DOUBLE) AS input_MB, CAST(0 AS DOUBLE) AS shuffle_write_MB, CAST(0 AS DOUBLE) AS gc_s
+FROM jobs j GROUP BY j.app_id"""
     o["run_skipped_stages"] = ORDER_RUN + "\nSELECT app_id, job_id, stage_id FROM skipped"
     metrics = ["duration_s", "tasks", "stages", "jobs", "input_MB", "shuffle_write_MB", "gc_s"]
     o["run_compare_long"] = EVENT_RUN + "\n" + "\nUNION ALL\n".join(

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.operators.runmetrics import STAGE_KEY, attempt_order, stage_task_totals
+from fleetlens.operators.runmetrics import STAGE_KEY, TASK_TOTALS, attempt_order, stage_task_totals
 from fleetlens.sources.staging import fingerprint, staged
 
 PREFIX = "SparkListener"
@@ -289,11 +289,12 @@ class EventLog:
         )
 
     def stages(self, tasks: DataFrame | None = None) -> DataFrame:
-        """One row per submitted stage attempt, with status and its tasks' summed metrics.
+        """One row per submitted stage attempt, and one per stage that a job listed but never submitted.
 
-        Status is COMPLETE, FAILED (a failure reason was logged) or ACTIVE (no
-        completion event yet).  Stages that were listed but never submitted
-        are not here: see :func:`fleetlens.operators.runmetrics.skipped_stages`.
+        An attempt's status is COMPLETE, FAILED (a failure reason was logged) or
+        ACTIVE (no completion event yet) and its metrics are its tasks' sums.  A
+        stage never submitted has no times and no metrics: SKIPPED when the last
+        event of the jobs that list it is a job's end, PENDING while it is a start.
         """
         def info(kind: str) -> DataFrame:
             s = _e("Stage Info")
@@ -324,7 +325,7 @@ class EventLog:
             .otherwise("COMPLETE")
         )
         zero = F.lit(0).cast("bigint")
-        return (
+        ran = (
             sub.join(done, STAGE_KEY, "left")
             .join(totals, STAGE_KEY, "left")
             .select(
@@ -335,10 +336,40 @@ class EventLog:
                 F.coalesce("_sub2", "submission_ms").alias("submission_ms"),
                 F.col("_done").alias("completion_ms"),
                 status.alias("status"),
-                *[F.coalesce(c, zero).alias(c) for c in
-                  ["input_bytes", "shuffle_read_bytes", "shuffle_write_bytes", "gc_ms"]],
+                *[F.coalesce(c, zero).alias(c) for c in TASK_TOTALS],
             )
         )
+        waiting = self._listed_stages().join(sub.select("app_id", "stage_id"), ["app_id", "stage_id"], "left_anti")
+        no_time = F.lit(None).cast("bigint")
+        waiting = waiting.withColumns({"submission_ms": no_time, "completion_ms": no_time} | dict.fromkeys(TASK_TOTALS, zero))
+        return ran.unionByName(waiting)
+
+    def _listed_stages(self) -> DataFrame:
+        """Every stage some job lists: its state if it is never submitted, with name, description and tasks as last listed."""
+        listed = self._kind("JobStart").select(
+            "app_id",
+            _e("Job ID").cast("bigint").alias("job_id"),
+            _e("Submission Time").alias("started"),
+            _e("Properties").getItem("spark.job.description").alias("description"),
+            _e("Stage Infos").alias("infos"),
+            F.explode(_e("Stage IDs")).alias("stage"),
+        )
+        ends = self._kind("JobEnd").select(
+            "app_id", _e("Job ID").cast("bigint").alias("job_id"), _e("Completion Time").alias("ended")
+        )
+        info = F.get(F.filter("infos", lambda s: s["Stage ID"] == F.col("stage")), F.lit(0))
+        last = F.struct(F.coalesce("ended", "started").alias("at"), F.col("ended").isNotNull(), "job_id")
+        state = F.struct(
+            F.coalesce(info["Stage Attempt ID"], F.lit(0)).alias("stage_attempt"),
+            info["Stage Name"].alias("name"),
+            "description",
+            F.coalesce(info["Number of Tasks"].cast("bigint"), F.lit(0).cast("bigint")).alias("num_tasks"),
+            F.when(F.col("ended").isNull(), "PENDING").otherwise("SKIPPED").alias("status"),
+        )
+        folded = listed.join(ends, ["app_id", "job_id"], "left").groupBy(
+            "app_id", F.col("stage").cast("bigint").alias("stage_id")
+        ).agg(F.max_by(state, last).alias("s"))
+        return folded.select("app_id", "stage_id", "s.*")
 
     def tables(self) -> dict[str, DataFrame]:
         tasks = self.tasks()

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.operators.runmetrics import STAGE_KEY, task_total_aggs
+from fleetlens.operators.runmetrics import STAGE_KEY, TASK_TOTALS, task_total_aggs
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -177,24 +177,38 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_run_tables(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
-    """jobs / job_stages / stages over ``orders`` and ``lineitem``.
+    """apps / jobs / job_stages / stages over ``orders`` and ``lineitem``.
 
     Every order is a job that lists one stage (id = order key); the stage ran
     when the order has lineitems (one task per line, done at the last ship
-    date), so an order without lineitems is a job with a skipped stage.  Job
+    date).  The stage of an order without lineitems is SKIPPED, or PENDING while
+    the order is open.  Job
     status comes from the order status: F succeeded, P failed, O still running.
     """
     lines = lines if lines is not None else order_lines(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     app = F.lit(ORDERS_APP).alias("app_id")
-    stages = lines.select(
+    nothing = F.lit(0).cast("bigint")
+    totals = [nothing.alias(c) for c in TASK_TOTALS]
+    ran = lines.select(
         app,
         F.col("l_orderkey").alias("stage_id"),
         F.lit(0).alias("stage_attempt"),
         F.col("num_tasks"),
         F.unix_millis(F.col("last_ship").cast("timestamp")).alias("completion_ms"),
         F.lit("COMPLETE").alias("status"),
+        *totals,
     )
+    waiting = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select(
+        app,
+        F.col("o_orderkey").alias("stage_id"),
+        F.lit(0).alias("stage_attempt"),
+        nothing.alias("num_tasks"),
+        F.lit(None).cast("bigint").alias("completion_ms"),
+        F.when(F.col("o_orderstatus").isin("F", "P"), "SKIPPED").otherwise("PENDING").alias("status"),
+        *totals,
+    )
+    stages = ran.unionByName(waiting)
     jobs = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         app,
         F.col("o_orderkey").alias("job_id"),
@@ -209,4 +223,10 @@ def order_run_tables(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
         F.coalesce("num_tasks", F.lit(0).cast("bigint")).alias("num_tasks"),
     )
     job_stages = orders.select(app, F.col("o_orderkey").alias("job_id"), F.col("o_orderkey").alias("stage_id"))
-    return {"jobs": jobs, "job_stages": job_stages, "stages": stages}
+    apps = jobs.groupBy("app_id").agg(
+        F.lit(None).cast("string").alias("attempt_id"),
+        F.max("app_id").alias("app_name"),
+        F.min("submission_ms").alias("start_ms"),
+        F.max("completion_ms").alias("end_ms"),
+    )
+    return {"apps": apps, "jobs": jobs, "job_stages": job_stages, "stages": stages}

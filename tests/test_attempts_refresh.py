@@ -97,6 +97,39 @@ def test_staged_lines_are_not_mixed_up(spark):
     assert staged == {"app-good": "app-good", "app-bad": "app-bad"}
 
 
+def test_stages_that_never_ran_are_rows(spark, scratch):
+    put(scratch, "app-bad", text(event_log_lines()["app-bad"]))
+    t = EventLog(spark, scratch).tables()
+    (skipped,) = t["stages"].where("status in ('SKIPPED', 'PENDING')").collect()
+    assert (skipped.stage_id, skipped.status, skipped.submission_ms, skipped.input_bytes) == (2, "SKIPPED", None, 0)
+    ran = t["stages"].where("status <> 'SKIPPED'")
+    both = [rm.app_summary(t["apps"], t["jobs"], s).collect() for s in (t["stages"], ran)]
+    assert both[0] == both[1]  # a skipped stage counts nowhere
+    states = {r.status: r.stages for r in rm.stage_states(t["stages"]).collect()}
+    assert states["SKIPPED"] == 1 and sum(states.values()) == ran.count() + 1
+
+
+def test_the_last_event_of_its_jobs_decides_a_stage_that_never_ran(spark, scratch):
+    def job(job_id, start, stages, end=None):
+        infos = [{"Stage ID": s, "Stage Attempt ID": 0, "Stage Name": f"stage {s}", "Number of Tasks": 2 + s} for s in stages]
+        yield {"Event": "SparkListenerJobStart", "Job ID": job_id, "Submission Time": start, "Stage IDs": stages, "Stage Infos": infos}
+        if end is not None:
+            yield {"Event": "SparkListenerJobEnd", "Job ID": job_id, "Completion Time": end, "Job Result": {"Result": "JobSucceeded"}}
+
+    lines = [
+        {"Event": "SparkListenerApplicationStart", "App Name": "a", "App ID": "a", "Timestamp": 1, "User": "u"},
+        *job(0, 10, [0, 1, 2], 20),
+        *job(1, 30, [1, 3]),
+        *job(2, 15, [2, 4], 40),
+        *job(3, 50, [5], 50),
+    ]
+    put(scratch, "a", text(lines))
+    t = EventLog(spark, scratch).tables()
+    got = {r.stage_id: (r.status, r.name, r.num_tasks) for r in t["stages"].collect()}
+    pending = {1, 3}  # listed by a job that still runs
+    assert got == {s: ("PENDING" if s in pending else "SKIPPED", f"stage {s}", 2 + s) for s in range(6)}
+
+
 def test_running_jobs_have_no_skipped_stages(spark, scratch):
     running = [e for e in event_log_lines()["app-bad"] if e["Event"].removeprefix("SparkListener") not in ("JobEnd", "StageCompleted")]
     put(scratch, "app-bad", text([e for e in running if not (e["Event"].endswith("StageSubmitted") and e["Stage Info"]["Stage ID"] > 3)]))

@@ -68,8 +68,13 @@ def test_failing_check_fails_the_job_and_the_session_goes_on(spark, raw_trips):
     assert t.count() == 11
 
 
-def test_counted_layout_equals_the_real_one(spark):
+def test_a_hash_layout_keeps_a_key_in_one_partition(spark):
     df = spark.range(5000).selectExpr("cast(id % 37 as string) as k", "if(id % 11 = 0, null, cast(id % 13 as int)) as n")
-    for key in ("k", "n"):
-        real = layout.rows_per_partition(layout.hash_layout(df, 16, key), 16).collect()
-        assert layout.layout_rows(df, 16, key).collect() == real
+    for key, values in (("k", 37), ("n", 14)):
+        laid = layout.hash_layout(df, 16, key)
+        rows = layout.rows_per_partition(laid, 16).collect()
+        assert [r.partition for r in rows] == list(range(16)) and sum(r.rows for r in rows) == 5000
+        held = layout.partitions_per_key(laid, key).collect()
+        assert len(held) == values and {r.partitions for r in held} == {1} and sum(r.rows for r in held) == 5000
+    spread = layout.partitions_per_key(df.repartition(16), "k").collect()
+    assert min(r.partitions for r in spread) > 1
