@@ -199,9 +199,9 @@ class EventLog:
         latest = heads.groupBy("app_id").agg(F.max_by("log", F.struct(*attempt_order(), "log")).alias("last"))
         return heads.join(latest, "app_id").select("log", "app_id", (F.col("log") == F.col("last")).alias("latest"))
 
-    def _kind(self, kind: str, every_attempt: bool = False) -> DataFrame:
-        """(app_id, log, e) of one kind, from each application's latest attempt unless all are asked for."""
-        events = self.events.filter(_e("Event") == PREFIX + kind).join(self.latest_logs(), "log", "left")
+    def _kind(self, *kinds: str, every_attempt: bool = False) -> DataFrame:
+        """(app_id, log, e) of these kinds, from each application's latest attempt unless all are asked for."""
+        events = self.events.filter(_e("Event").isin([PREFIX + k for k in kinds])).join(self.latest_logs(), "log", "left")
         if not every_attempt:
             events = events.filter(F.coalesce("latest", F.lit(True)))
         return events.select(F.coalesce("app_id", "log").alias("app_id"), "log", "e")
@@ -210,10 +210,10 @@ class EventLog:
         """One row per app attempt: ids, name, start/end (ms), Spark version and user."""
         fields = [_e("App Name").alias("app_name"), _e("User").alias("user")]
         start = self.headers().join(
-            self._kind("ApplicationStart", True).groupBy("log").agg(F.first(F.struct(*fields)).alias("a")), "log"
+            self._kind("ApplicationStart", every_attempt=True).groupBy("log").agg(F.first(F.struct(*fields)).alias("a")), "log"
         )
-        end = self._kind("ApplicationEnd", True).groupBy("log").agg(F.max(_e("Timestamp")).alias("end_ms"))
-        version = self._kind("LogStart", True).groupBy("log").agg(F.max(_e("Spark Version")).alias("spark_version"))
+        end = self._kind("ApplicationEnd", every_attempt=True).groupBy("log").agg(F.max(_e("Timestamp")).alias("end_ms"))
+        version = self._kind("LogStart", every_attempt=True).groupBy("log").agg(F.max(_e("Spark Version")).alias("spark_version"))
         return start.join(end, "log", "left").join(version, "log", "left").select(
             "app_id", "attempt_id", "a.app_name", "start_ms", "end_ms", "spark_version", "a.user"
         )
@@ -346,17 +346,19 @@ class EventLog:
 
     def _listed_stages(self) -> DataFrame:
         """Every stage some job lists: its state if it is never submitted, with name, description and tasks as last listed."""
-        listed = self._kind("JobStart").select(
-            "app_id",
-            _e("Job ID").cast("bigint").alias("job_id"),
-            _e("Submission Time").alias("started"),
-            _e("Properties").getItem("spark.job.description").alias("description"),
-            _e("Stage Infos").alias("infos"),
-            F.explode(_e("Stage IDs")).alias("stage"),
-        )
-        ends = self._kind("JobEnd").select(
-            "app_id", _e("Job ID").cast("bigint").alias("job_id"), _e("Completion Time").alias("ended")
+        ends = _e("Event") == f"{PREFIX}JobEnd"
+        jobs = (
+            self._kind("JobStart", "JobEnd")
+            .groupBy("app_id", _e("Job ID").alias("job_id"))
+            .agg(
+                F.max(_e("Submission Time")).alias("started"),
+                F.max(F.when(ends, _e("Completion Time"))).alias("ended"),
+                F.max(_e("Properties").getItem("spark.job.description")).alias("description"),
+                F.first(_e("Stage Infos"), ignorenulls=True).alias("infos"),
+                F.first(_e("Stage IDs"), ignorenulls=True).alias("stages"),
+            )
         )
+        listed = jobs.withColumn("stage", F.explode("stages"))
         info = F.get(F.filter("infos", lambda s: s["Stage ID"] == F.col("stage")), F.lit(0))
         last = F.struct(F.coalesce("ended", "started").alias("at"), F.col("ended").isNotNull(), "job_id")
         state = F.struct(
@@ -366,9 +368,8 @@ class EventLog:
             F.coalesce(info["Number of Tasks"].cast("bigint"), F.lit(0).cast("bigint")).alias("num_tasks"),
             F.when(F.col("ended").isNull(), "PENDING").otherwise("SKIPPED").alias("status"),
         )
-        folded = listed.join(ends, ["app_id", "job_id"], "left").groupBy(
-            "app_id", F.col("stage").cast("bigint").alias("stage_id")
-        ).agg(F.max_by(state, last).alias("s"))
+        by_stage = listed.groupBy("app_id", F.col("stage").cast("bigint").alias("stage_id"))
+        folded = by_stage.agg(F.max_by(state, last).alias("s"))
         return folded.select("app_id", "stage_id", "s.*")
 
     def tables(self) -> dict[str, DataFrame]:

@@ -99,7 +99,7 @@ def test_staged_lines_are_not_mixed_up(spark):
 
 def test_stages_that_never_ran_are_rows(spark, scratch):
     put(scratch, "app-bad", text(event_log_lines()["app-bad"]))
-    t = EventLog(spark, scratch).tables()
+    t = EventLog(spark, scratch).staged().tables()
     (skipped,) = t["stages"].where("status in ('SKIPPED', 'PENDING')").collect()
     assert (skipped.stage_id, skipped.status, skipped.submission_ms, skipped.input_bytes) == (2, "SKIPPED", None, 0)
     ran = t["stages"].where("status <> 'SKIPPED'")
@@ -124,7 +124,7 @@ def test_the_last_event_of_its_jobs_decides_a_stage_that_never_ran(spark, scratc
         *job(3, 50, [5], 50),
     ]
     put(scratch, "a", text(lines))
-    t = EventLog(spark, scratch).tables()
+    t = EventLog(spark, scratch).staged().tables()
     got = {r.stage_id: (r.status, r.name, r.num_tasks) for r in t["stages"].collect()}
     pending = {1, 3}  # listed by a job that still runs
     assert got == {s: ("PENDING" if s in pending else "SKIPPED", f"stage {s}", 2 + s) for s in range(6)}
