@@ -1,20 +1,26 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class).
+P(word | history) = P(class | history) * P(word | class),
+P(class | history) = Q(class | history) * f(previous word, class) / Z.
 
 * Words are counted over all training texts.  The head of the vocabulary (at
   most ``HEAD`` words, none seen once only) is held in memory by every task;
   every other word, seen or not, is of the tail class.  The SINGLES most frequent
   words are classes of their own; the other head words are grouped by the
   single word most typical of the documents they occur in.
-* The class is predicted by a maximum-entropy model over hashed features of
-  the history: a bias, the previous word (an n-gram of its context id), the
+* Q is a maximum-entropy model over hashed features of the history: a bias, the previous word (an n-gram of its context id), the
   previous word together with the class of the one before (a longer n-gram),
   and that class alone (a skip feature).
 * Training counts every (history, class) event of the corpus, which is the
   whole gradient's data, and then takes damped diagonal-Newton gradient steps;
   every step's gradient is computed by tasks over their share of the events
   and added up.  The events are bounded by the numbers of contexts and classes.
+* Every word of the training texts, however rare, has weights of its own for
+  the classes that follow it: f is one scaling step from Q, the classes met after
+  the word over those Q expects there.  The OWN_WORDS most frequent words' weights
+  are held in memory; those of all other words are made where the word's events
+  meet the tokens that follow it in any text, joined by the word, so no number of
+  words is too large.
 * Within a class a word has its share of the class's tokens; the tail class
   keeps the Good-Turing share for the unseen word.
 * Scoring goes over texts in numpy batches; only contexts that occur in a
@@ -49,6 +55,10 @@ CONTEXTS = 256  # context ids of the previous word: the most frequent words, the
 OWN_CONTEXTS = CONTEXTS - CLASSES
 ROWS = 1 << 12  # hashed feature rows of CLASSES weights
 FEATURES = 4
+OWN_WORDS = 1 << 17  # words whose followers are held in memory: 4 bytes a class each; all others are joined
+PRIOR = 1.0  # events of each class a word is taken to have had as Q expects them
+BLOCK = 1 << 14  # tokens joined at a time
+CACHED = 1 << 10  # tokens whose probabilities stay in cache
 STEPS = 25
 RIDGE = 1.0
 FLUSH = 1 << 21
@@ -68,6 +78,7 @@ class Vocabulary:
     counts: np.ndarray
     classes: np.ndarray
     contexts: np.ndarray
+    slots: np.ndarray  # rank of the most frequent words, -1 for others
     tokens: int  # N
     types: int  # V
     tail_tokens: int
@@ -79,8 +90,9 @@ class Vocabulary:
         """Place of each word in the head, -1 for the tail."""
         if not len(self.hashes):
             return np.full(len(words), -1, np.int32)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at, -1).astype(np.int32)
+        different, back = np.unique(words, return_inverse=True)  # looked up once each, in order
+        at = np.minimum(np.searchsorted(self.hashes, different), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == different, at, -1).astype(np.int32)[back]
 
     def unseen_share(self) -> float:
         return (self.once + 0.5) / (self.tail_tokens + self.once + 1.0)
@@ -97,14 +109,39 @@ class Vocabulary:
         contexts = np.where(padded >= 0, self.contexts[padded], OWN_CONTEXTS + TAIL) if len(self.classes) else classes + OWN_CONTEXTS
         return classes[2:].astype(np.int64), contexts[1:-1].astype(np.int64) * CLASSES + classes[:-2]
 
+    def previous_slots(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Slot of the word before each token of the texts, -1 where none; before a text stands an end token."""
+        if not len(self.slots):
+            return np.full(sum(map(len, texts)), -1, np.int32)
+        before = _shifted(texts, self.find(word_hashes([END]))[0])
+        return np.where(before >= 0, self.slots[before], np.int32(-1))
+
+    def previous_words(self, texts: list[np.ndarray], tails: list[bytes]) -> np.ndarray:
+        """Hash of the word before each token."""
+        ids = np.concatenate(texts)
+        words = np.empty(len(ids), np.uint64)
+        words[ids >= 0] = self.hashes[ids[ids >= 0]]
+        words[ids < 0] = np.frombuffer(b"".join(tails), "<u8")
+        return _shifted(np.split(words, np.cumsum([len(t) for t in texts])[:-1]), word_hashes([END])[0])
+
+
+def _shifted(texts: list[np.ndarray], first) -> np.ndarray:
+    """The texts' values one place later, ``first`` at the start of each (a text has one token at least)."""
+    out = np.concatenate([np.array([first], texts[0].dtype), *texts])[:-1]
+    out[np.cumsum([0, *(len(t) for t in texts[:-1])])] = first
+    return out
+
 
 @dataclass(frozen=True)
 class Model:
     vocabulary: Vocabulary
     weights: np.ndarray  # ROWS x CLASSES
+    factors: np.ndarray  # f of the words in slots, a row each; the others are joined
+    logs: np.ndarray  # log10 Q of every history
+    probabilities: np.ndarray  # Q of every history, in single precision
 
     def log_classes(self, histories: np.ndarray) -> np.ndarray:
-        """log10 P(class | history), a row per history."""
+        """log10 Q(class | history), a row per history."""
         return log_softmax(self.weights, histories, self.vocabulary.possible()) / np.log(10)
 
 
@@ -187,7 +224,7 @@ def _head(counts: DataFrame, head: int) -> tuple[Vocabulary, int]:
     types = sum(t for t, _ in by_bin.values())
     return (
         Vocabulary(
-            hashes, n, np.empty(0, np.uint8), np.empty(0, np.uint16), total, types,
+            hashes, n, np.empty(0, np.uint8), np.empty(0, np.uint16), np.empty(0, np.int32), total, types,
             total - int(n.sum()), types - len(n), by_bin.get(0, (0, 0))[0], np.zeros(CLASSES),
         ),
         1 << least,
@@ -201,12 +238,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str,
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, tails = [], []
-            for text in batch.column(2).to_pylist():
-                words = token_hashes(text)
-                found = shared.value.find(words)
-                ids.append(found.astype("<i4").tobytes())
-                tails.append(words[found < 0].astype("<u8").tobytes())
+            if not batch.num_rows:
+                continue
+            texts = [token_hashes(t) for t in batch.column(2).to_pylist()]
+            cuts = np.cumsum([len(t) for t in texts])[:-1]
+            places = np.split(shared.value.find(np.concatenate(texts)), cuts)
+            ids = [found.astype("<i4").tobytes() for found in places]
+            tails = [words[found < 0].astype("<u8").tobytes() for words, found in zip(texts, places, strict=True)]
             row = pa.array(np.arange(number, number + batch.num_rows))
             number += batch.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -222,7 +260,7 @@ def _ids(value: bytes) -> np.ndarray:
     return np.frombuffer(value, "<i4")
 
 
-def with_classes(vocabulary: Vocabulary, encoded: DataFrame) -> Vocabulary:
+def with_classes(vocabulary: Vocabulary, encoded: DataFrame, own_words: int = OWN_WORDS) -> Vocabulary:
     """Give the head words classes: frequent words their own, the others the sign of the texts they occur in."""
     size = len(vocabulary.hashes)
     by_count = np.lexsort((vocabulary.hashes, -vocabulary.counts))
@@ -257,9 +295,12 @@ def with_classes(vocabulary: Vocabulary, encoded: DataFrame) -> Vocabulary:
     classes[best["word"].to_numpy()] = np.where(sign < SINGLES, SINGLES + sign, NO_SIGN)
     classes[singles >= 0] = singles[singles >= 0]
     contexts = np.where(rank < OWN_CONTEXTS, rank, OWN_CONTEXTS + classes)
+    slots = np.where(rank < own_words, rank, -1).astype(np.int32)
     tokens = np.bincount(classes, vocabulary.counts, minlength=CLASSES).astype(np.float64)
     tokens[TAIL] = vocabulary.tail_tokens
-    return replace(vocabulary, classes=classes.astype(np.uint8), contexts=contexts.astype(np.uint16), class_tokens=tokens)
+    return replace(
+        vocabulary, classes=classes.astype(np.uint8), contexts=contexts.astype(np.uint16), slots=slots, class_tokens=tokens
+    )
 
 
 def _events(encoded: DataFrame, shared) -> DataFrame:
@@ -323,18 +364,158 @@ def fit_weights(events: DataFrame, possible: np.ndarray, steps: int = STEPS) ->
     return weights
 
 
+def scaled(met: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """f of words by the classes met after them and those Q expects there; 1 for a word without events."""
+    return (met + PRIOR) / (expected + PRIOR)
+
+
+def log_followers(
+    probabilities: np.ndarray, factors: np.ndarray, histories: np.ndarray, which: np.ndarray, classes: np.ndarray
+) -> np.ndarray:
+    """What ``factors``, of which ``which`` names a token's row, add to log10 Q(class | history) of each token."""
+    total = np.empty(len(histories), np.float32)
+    for i in range(0, len(histories), CACHED):
+        part = slice(i, i + CACHED)
+        np.einsum("ij,ij->i", probabilities[histories[part]], factors[which[part]], out=total[part])
+    return np.log10(factors[which, classes].astype(np.float64)) - np.log10(total)
+
+
+def _own_factors(encoded: DataFrame, shared, probabilities: np.ndarray, own_words: int) -> np.ndarray:
+    """f of the words in slots, a row each.
+
+    Tasks count, per slot, the classes that followed and the classes before; a
+    slot's counts are added up in one task, at most 2 * CLASSES of them from each
+    counting task, and the factors alone, ``own_words`` rows, are gathered.
+    """
+    width = 2 * CLASSES
+    contexts = np.zeros(own_words, np.int64)
+    v = shared.value
+    contexts[v.slots[v.slots >= 0]] = v.contexts[v.slots >= 0]
+    given = encoded.sparkSession.sparkContext.broadcast((contexts, probabilities.reshape(CONTEXTS, CLASSES, CLASSES)))
+
+    def keys_of(batch: pa.RecordBatch) -> np.ndarray:
+        texts = [_ids(x) for x in batch.column(0).to_pylist()]
+        if not texts:
+            return np.empty(0, np.int64)
+        slots = shared.value.previous_slots(texts).astype(np.int64)
+        pairs = [shared.value.history(t) for t in texts]
+        own = slots >= 0
+        slots = slots[own] * width
+        classes, before = (np.concatenate([p[i] for p in pairs])[own] for i in (0, 1))
+        return np.concatenate([slots + classes, slots + CLASSES + before % CLASSES])
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(own_words * width, np.int64)
+        for batch in batches:
+            np.add.at(total, batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        total = total.reshape(own_words, width)
+        used = np.flatnonzero(total.any(axis=1))
+        met, before = total[used, :CLASSES], total[used, CLASSES:]
+        context, q = given.value
+        expected = np.empty(met.shape)
+        for c in np.unique(context[used]):
+            these = context[used] == c
+            expected[these] = before[these] @ q[c]
+        rows = [r.tobytes() for r in scaled(met, expected).astype("<f4")]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(rows, pa.binary())], names=["slot", "f"])
+
+    partial = encoded.where("train").select("ids").mapInArrow(lambda b: _tally(b, keys_of, "key"), "key long, n long")
+    found = partial.repartition(F.floor(F.col("key") / width)).mapInArrow(part, "slot long, f binary").toArrow()
+    out = np.ones((own_words, CLASSES), np.float32)
+    if len(found):
+        out[found["slot"].to_numpy()] = np.frombuffer(b"".join(found["f"].to_pylist()), "<f4").reshape(-1, CLASSES)
+    return out
+
+
+def _token_rows(encoded: DataFrame, shared) -> DataFrame:
+    """(word, code, row) of the tokens after words without a slot, ``code`` being history and class.
+
+    A training token is there twice: as an event of its word, with row -1, and as a token to score.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = shared.value.vocabulary
+            texts = [_ids(x) for x in batch.column(2).to_pylist()]
+            lengths = [len(t) for t in texts]
+            rest = v.previous_slots(texts) < 0
+            words = v.previous_words(texts, batch.column(3).to_pylist())[rest].view(np.int64)
+            pairs = [v.history(t) for t in texts]
+            code = (np.concatenate([h * CLASSES + c for c, h in pairs])[rest]).astype(np.int32)
+            row = np.repeat(batch.column(0).to_numpy(), lengths)[rest]
+            event = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), lengths)[rest]
+            columns = [np.concatenate([x, x[event]]) for x in (words, code)]
+            columns.append(np.concatenate([row, np.full(int(event.sum()), -1)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["word", "code", "row"])
+
+    return encoded.select("row", "train", "ids", "tail").mapInArrow(rows, "word long, code int, row long")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of the batches, BLOCK rows or a little more at a time."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= BLOCK:
+            yield [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(batch.num_columns)]
+            held, count = [], 0
+    if count:
+        yield [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(held[0].num_columns)]
+
+
+def score_followers(encoded: DataFrame, shared) -> DataFrame:
+    """(row, more): what f of a previous word without a slot adds to the log10 probability of a text's token.
+
+    Tokens meet the events of their previous word in its partition, events first,
+    so that a word of any number of tokens is held as one row of sums.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value.probabilities
+        last, last_met, last_expected = None, np.zeros(CLASSES), np.zeros(CLASSES)
+        for word, code, row in _chunks(batches):
+            new = np.r_[True, word[1:] != word[:-1]]
+            at = np.cumsum(new) - 1
+            names = word[new]
+            histories, classes = code // CLASSES, code % CLASSES
+            event = row < 0
+            of = at[event]
+            met = np.bincount(of * CLASSES + classes[event], minlength=len(names) * CLASSES).reshape(-1, CLASSES).astype(np.float64)
+            expected = np.zeros(met.shape)
+            if len(of):
+                starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                expected[of[starts]] = np.add.reduceat(q[histories[event]], starts, axis=0, dtype=np.float64)
+            if last == names[0]:
+                met[0] += last_met
+                expected[0] += last_expected
+            last, last_met, last_expected = names[-1], met[-1], expected[-1]
+            asked = ~event
+            h, c = histories[asked], classes[asked]
+            more = log_followers(q, scaled(met, expected).astype(np.float32), h, at[asked], c)
+            yield pa.RecordBatch.from_arrays([pa.array(row[asked]), pa.array(more)], names=["row", "more"])
+
+    tokens = _token_rows(encoded, shared).repartition("word").sortWithinPartitions("word", "row")
+    return tokens.mapInArrow(rows, "row long, more double")
+
+
 def train(
-    encoded: DataFrame, vocabulary: Vocabulary, work: Workspace, steps: int = STEPS
+    encoded: DataFrame, vocabulary: Vocabulary, work: Workspace, steps: int = STEPS, own_words: int = OWN_WORDS
 ) -> Model:
-    vocabulary = with_classes(vocabulary, encoded)
+    vocabulary = with_classes(vocabulary, encoded, own_words)
     shared = encoded.sparkSession.sparkContext.broadcast(replace(vocabulary, counts=np.empty(0)))
     events = work.save(_events(encoded, shared).repartition("history"), "events")
-    return Model(vocabulary, fit_weights(events, vocabulary.possible(), steps))
+    weights = fit_weights(events, vocabulary.possible(), steps)
+    logs = log_softmax(weights, np.arange(CONTEXTS * CLASSES), vocabulary.possible())
+    probabilities = np.exp(logs).astype(np.float32)
+    return Model(vocabulary, weights, _own_factors(encoded, shared, probabilities, own_words), logs / np.log(10), probabilities)
 
 
-def score_head(encoded: DataFrame, model: Model) -> DataFrame:
-    """(row, doc_id, train, n_tokens, n_head, base, score): everything but the tail words' own counts."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+def score_head(encoded: DataFrame, shared) -> DataFrame:
+    """(row, doc_id, train, n_tokens, n_head, base, score): everything but what is joined by words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -350,8 +531,11 @@ def score_head(encoded: DataFrame, model: Model) -> DataFrame:
             ids = np.concatenate(texts)
             pairs = [v.history(t) for t in texts]
             classes = np.concatenate([p[0] for p in pairs])
-            histories, at = np.unique(np.concatenate([p[1] for p in pairs]), return_inverse=True)
-            score = m.log_classes(histories)[at, classes]
+            histories = np.concatenate([p[1] for p in pairs])
+            score = m.logs[histories, classes]
+            slots = v.previous_slots(texts)
+            own = slots >= 0
+            score[own] += log_followers(m.probabilities, m.factors, histories[own], slots[own], classes[own])
             known = ids >= 0
             base = np.full(len(ids), -floor)
             base[known] += log_count[ids[known]]
@@ -389,6 +573,7 @@ def score_documents(
     text_col: str = "text",
     head: int = HEAD,
     steps: int = STEPS,
+    own_words: int = OWN_WORDS,
 ) -> DataFrame:
     """Learn from the rows where ``train_on`` is true and score every row.
 
@@ -398,7 +583,7 @@ def score_documents(
     counts = work.save(count_words(docs.where(train_on).select(F.col(f"`{text_col}`"))), "counts")
     vocabulary, least = _head(counts, head)
     encoded = work.save(encode(docs, vocabulary, id_col, text_col, train_on), "encoded")
-    model = train(encoded, vocabulary, work, steps)
+    model = train(encoded, vocabulary, work, steps, own_words)
     v = model.vocabulary
 
     unseen = v.unseen_share()
@@ -416,9 +601,12 @@ def score_documents(
             ).alias("score_part"),
         )
     )
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    followers = score_followers(encoded, shared).groupBy("row").agg(F.sum("more").alias("more"))
     return (
-        score_head(encoded, model)
+        score_head(encoded, shared)
         .join(tail, "row", "left")
+        .join(followers, "row", "left")
         .select(
             "doc_id",
             (~F.col("train")).alias("held_out"),
@@ -426,6 +614,6 @@ def score_documents(
             (F.col("n_head") + F.coalesce("seen", F.lit(0))).alias("n_known"),
             F.lit(v.tokens).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("base_part", F.lit(0.0))).alias("base_score"),
-            (F.col("score") + F.coalesce("score_part", F.lit(0.0))).alias("score"),
+            (F.col("score") + F.coalesce("score_part", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("score"),
         )
     )

@@ -6,7 +6,7 @@ import hashlib
 import math
 import struct
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -329,6 +329,47 @@ def test_lm_probabilities_add_up(spark, docs):
     assert p[:, used].sum(axis=1) == pytest.approx(1.0)
 
 
+def test_lm_every_word_has_followers_of_its_own(spark):
+    """400 rare words, alike but for the word after them: each tells it, held in memory or joined, as brute force does."""
+    train = [f"u{i} alpha u{i + 1} beta" for i in range(0, 400, 2)] * 3
+    train.append((" ".join(f"more{i}" for i in range(lm_score.CONTEXTS)) + " ") * 10)  # takes the frequent words' context ids
+    asked = [f"u{i} {after}" for after in ("alpha", "beta") for i in range(400)] + ["new alpha", "new beta", "", None]
+    rows = [(n, t) for n, t in enumerate(train + asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    learn = F.col("doc_id") < len(train)
+    found = []
+    for own_words in (1 << 16, 300, 0):
+        got = lm_score.score_documents(df, learn, steps=8, own_words=own_words).collect()
+        found.append(np.array([r.score for r in sorted(got, key=lambda r: r.doc_id)]))
+        alpha, beta = found[-1][len(train) :][:800].reshape(2, 400)
+        assert (alpha - beta)[::2].min() > (alpha - beta)[1::2].max()
+    assert found[1] == pytest.approx(found[0], abs=1e-4) and found[2] == pytest.approx(found[0], abs=1e-4)
+
+    # the same by loops: Q of the trained weights, f of every previous word, words' shares of their classes
+    work = Workspace(spark, "test")
+    counts = work.save(lm_score.count_words(df.where(learn).select("text")), "counts")
+    vocabulary, _ = lm_score._head(counts, lm_score.HEAD)
+    encoded = work.save(lm_score.encode(df, vocabulary, "doc_id", "text", learn), "encoded")
+    model = lm_score.train(encoded, vocabulary, work, steps=8)
+    v = model.vocabulary
+    met, expected = defaultdict(lambda: np.zeros(lm_score.CLASSES)), defaultdict(lambda: np.zeros(lm_score.CLASSES))
+    words = lambda t: [*(t or "").split(), " "]
+    texts = [(t, v.history(v.find(lm_score.token_hashes(t)))) for _, t in rows]
+    q = 10.0 ** model.log_classes(np.arange(lm_score.CONTEXTS * lm_score.CLASSES))
+    for t, (classes, histories) in texts[: len(train)]:
+        for before, c, h in zip([" ", *words(t)], classes, histories, strict=False):
+            met[before][c] += 1
+            expected[before] += q[h]
+    for n, (t, (classes, histories)) in enumerate(texts):
+        total = 0.0
+        ids = v.find(lm_score.token_hashes(t))
+        for before, c, h, i in zip([" ", *words(t)], classes, histories, ids, strict=False):
+            p = q[h] * (met[before] + lm_score.PRIOR) / (expected[before] + lm_score.PRIOR)
+            share = v.counts[i] / v.class_tokens[c] if i >= 0 else v.unseen_share()
+            total += math.log10(p[c] / p.sum() * share)
+        assert found[0][n] == pytest.approx(total, abs=1e-4)
+
+
 # --- token counts, sharding, language, secrets ------------------------------------------------
 
 
