@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions import distance_bucket
 from fleetlens.operators import aggregates as agg
 from fleetlens.operators import clean, joins
+from fleetlens.plans import catalog
 from fleetlens.plans.inspect import plan_text
 
 
@@ -83,3 +84,42 @@ def test_distinct_trips_with_null_ids_matches_distinct_on_all_six_columns(spark)
     got = sorted(map(tuple, agg.distinct_trips(df).collect()), key=repr)
     want = sorted(map(tuple, agg.with_route(df).select(*agg.ROUTE_COLUMNS).distinct().collect()), key=repr)
     assert got == want and len(got) == 3
+
+
+def _star_tables(spark, root):
+    """Twelve order lines of four orders, two customers and three suppliers; one nation has no region."""
+    def save(name, schema, rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+
+    save("region", "r_regionkey int, r_name string", [(0, "NORTH"), (1, "SOUTH")])
+    save("nation", "n_nationkey int, n_name string, n_regionkey int", [(0, "a", 0), (1, "b", 1), (2, "c", 9)])
+    save("customer", "c_custkey bigint, c_nationkey int", [(1, 0), (2, 1)])
+    save("supplier", "s_suppkey bigint, s_nationkey int", [(1, 0), (2, 1), (3, 2)])
+    days = "timestamp '2020-01-01 00:00:00' + make_interval(0, 0, 0, id)"
+    orders = spark.range(1, 5).selectExpr("id as o_orderkey", "id % 2 + 1 as o_custkey", "'F' as o_orderstatus", f"{days} as o_orderdate")
+    orders.write.parquet(f"{root}/orders.parquet")
+    lines = spark.range(12).selectExpr(
+        "id % 4 + 1 as l_orderkey", "id % 3 + 1 as l_suppkey", "cast(id as int) as l_linenumber", "cast(2 as double) as l_quantity",
+        "cast(100 + id as double) as l_extendedprice", "0.1D as l_discount", "0.0D as l_tax", "'R' as l_returnflag",
+        f"{days} as l_shipdate",
+    )
+    lines.write.parquet(f"{root}/lineitem.parquet")
+
+
+def test_flows_and_zone_counts_read_only_their_columns(spark, scratch):
+    """Not staged, they compute no column they do not need; once staged they read the table; the rows are the same."""
+    root = f"{scratch}/tables"
+    _star_tables(spark, root)
+    queries = catalog.trip_queries()
+    names = ("borough_flows_merge", "borough_flows", "zone_counts")
+    before = {name: queries[name](spark, root) for name in names}
+    for df in before.values():
+        text = plan_text(df, "simple")
+        assert "staged" not in text and "l_shipdate" not in text and "l_quantity" not in text
+    rows = {name: sorted(df.collect()) for name, df in before.items()}
+    assert sum(r.trips for r in rows["borough_flows_merge"]) == 8 and rows["borough_flows_merge"] == rows["borough_flows"]
+    catalog.trips(spark, root)
+    for name in names:
+        df = queries[name](spark, root)
+        assert "l_orderkey" not in plan_text(df, "simple") and sorted(df.collect()) == rows[name]
+    assert spark.conf.get("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold") in ("0", "0b")
