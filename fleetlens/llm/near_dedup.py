@@ -5,8 +5,9 @@ Steps, each written to the shared folder:
 1. A document's set is its distinct five-word shingles (64-bit hashes).  Texts
    with equal sets form one class and go on as one representative, so copies
    cost nothing further.
-2. Representatives get ``HASHES`` MinHash values, cut in bands of as many values
-   as the threshold allows (``banding``); each band is a bucket key.  Only those that share a bucket go on.
+2. Texts get ``HASHES`` MinHash values, cut in bands of as many values as the
+   threshold allows (``banding``); each band is hashed to a bucket key where the
+   values are made, and the keys alone are kept.  Only representatives that share a bucket go on.
 3. A candidate's core is its set less the shingles no other candidate has.  An
    intersection is within both cores, so sizes and cores alone rule out most
    pairs of texts that were changed in different places.
@@ -150,47 +151,33 @@ def alike(left: Column, right: Column, threshold: float, miss: float) -> Column:
     return out
 
 
-def _sketch(texts: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, class_hash, signature) of (doc_id, text); no signature for an empty set."""
+def band_keys(values: np.ndarray, n_bands: int) -> np.ndarray:
+    """The bucket keys of MinHash values, as signed longs: each hashes its band's number and values."""
+    bands = values.astype(np.uint64).reshape(n_bands, -1)
+    keys = np.arange(1, n_bands + 1, dtype=np.uint64)
+    for i in range(bands.shape[1]):
+        keys = (keys ^ bands[:, i]) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
+
+
+def _sketch(texts: DataFrame, size: int, n_bands: int) -> DataFrame:
+    """(doc_id, n_shingles, class_hash, buckets) of (doc_id, text); no buckets for an empty set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, classes, signatures = [], [], []
+            counts, classes, buckets = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, size)
                 counts.append(len(found))
                 classes.append(xxhash.xxh128_digest(found.tobytes()) if len(found) else None)
-                signatures.append(minhash(found, HASHES).astype("<u4").tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "n_shingles", "class_hash", "signature"],
-            )
-
-    return texts.mapInArrow(rows, "doc_id long, n_shingles long, class_hash binary, signature binary")
-
-
-def _bucket_keys(nodes: DataFrame, n_bands: int, width: int) -> DataFrame:
-    """(bucket, node, cls, n), one row per band: the bucket key hashes the band's number and its MinHash values."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            bands = _matrix(batch.column(0)).astype(np.uint64).reshape(n, n_bands, width)
-            keys = np.broadcast_to(np.arange(1, n_bands + 1, dtype=np.uint64), (n, n_bands)).copy()
-            for i in range(width):
-                keys = (keys ^ bands[:, :, i]) * np.uint64(0xD6E8FEB86659FD93)
-                keys ^= keys >> np.uint64(32)
-            rest = [pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), n_bands)) for i in (1, 2, 3)]
+                buckets.append(band_keys(minhash(found, HASHES), n_bands) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), *rest], names=["bucket", "node", "cls", "n"]
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "class_hash", "buckets"],
             )
 
-    return nodes.select("signature", "node", "cls", "n").mapInArrow(rows, "bucket long, node long, cls long, n long")
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    """The signatures of an Arrow binary column as rows of a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
+    return texts.mapInArrow(rows, "doc_id long, n_shingles long, class_hash binary, buckets array<long>")
 
 
 def _candidates(texts: DataFrame, size: int) -> DataFrame:
@@ -284,25 +271,27 @@ def near_duplicates(
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     work = Workspace(docs.sparkSession, "near-dedup")
     num, den = link
-    bands, rows = banding(num / den)
+    bands, _ = banding(num / den)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    sketches = work.save(_sketch(texts, size), "sketches")
+    sketches = work.save(_sketch(texts, size, bands), "sketches")
     classes = sketches.where("class_hash is not null and doc_id is not null").groupBy("class_hash")
     nodes = work.save(
-        classes.agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r")).select(
+        classes.agg(F.min(F.struct("doc_id", "n_shingles", "buckets")).alias("r")).select(
             "class_hash",
             F.xxhash64("class_hash").alias("cls"),
             F.col("r.doc_id").alias("node"),
             F.col("r.n_shingles").alias("n"),
-            "r.signature",
+            "r.buckets",
         ),
         "nodes",
     )
 
-    keys = work.save(_bucket_keys(nodes, bands, rows), "keys")
-    shared = keys.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    sharing = work.save(keys.join(shared, "bucket"), "sharing")
-    work.drop("keys")
+    # a class is once in a bucket; only (bucket, cls) travels, the rest of a class joins those that share one
+    keys = nodes.select(F.explode("buckets").alias("bucket"), "cls")
+    shared = keys.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
+    shared = work.save(shared, "shared")
+    sharing = work.save(keys.join(shared, "bucket").join(nodes.select("cls", "node", "n"), "cls"), "sharing")
+    work.drop("shared")
     needed = small_side(work.save(sharing.select(F.col("node").alias("doc_id")).distinct(), "needed"), 16)
     candidates = work.save(_candidates(texts.join(needed, "doc_id", "left_semi"), size), "candidates")
     sketches_of = candidates.groupBy("cls").agg(F.first("sketch").alias("sketch"))  # equal sets, equal sketches
