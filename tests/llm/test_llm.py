@@ -106,6 +106,18 @@ def test_pruning_bound_is_the_beta_posterior():
             assert (weight[grid >= 0.9].sum() / weight.sum() >= 1e-6) == kept
 
 
+def test_a_text_travels_as_bucket_keys(spark):
+    """Eight bytes a band, no MinHash value; bands that agree in all values, and no others, share a key."""
+    df = spark.createDataFrame([(1, prose(1, 300)), (2, prose(1, 290)), (3, None)], "doc_id long, text string")
+    for bands, width in ((24, 8), (32, 6)):
+        got = {r.doc_id: r.asDict() for r in near_dedup._sketch(df, 5, bands).collect()}
+        assert list(got[1]) == ["doc_id", "n_shingles", "class_hash", "buckets"] and got[3]["buckets"] is None
+        values = [near_dedup.minhash(near_dedup.shingles(prose(1, n)), near_dedup.HASHES).reshape(bands, width) for n in (300, 290)]
+        equal = (values[0] == values[1]).all(axis=1).tolist()
+        assert [a == b for a, b in zip(got[1]["buckets"], got[2]["buckets"], strict=True)] == equal and any(equal)
+        assert len(set(got[1]["buckets"])) == bands
+
+
 def test_sketches_agree_as_their_sets_do(spark):
     """Bits agree with chance (1 + similarity) / 2; pairs at the threshold pass, those well below do not."""
     rng = np.random.default_rng(8)
