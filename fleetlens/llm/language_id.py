@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
+from fleetlens.llm.common import ARROW_ROWS
+
 UNDETERMINED = "und"
 GRAM = 3
 HASHES = 3  # slots per n-gram; slot i is bits [20 i, 20 i + slot_bits) of its hash
@@ -40,7 +42,8 @@ SLOT_BITS = 20
 MIN_SHARE = 0.002
 RATIO = 0.5
 MAX_LANGUAGES = 4096
-FLUSH = 1 << 20  # n-grams a training task holds back before it merges them
+FLUSH = 1 << 18  # n-grams a training task holds back before it merges them
+HELD = 1 << 20  # distinct (language, n-gram) a training task holds before it hands them on
 
 _letter: np.ndarray | None = None
 
@@ -157,7 +160,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held >= FLUSH:
             merge()
             held = 0
-            if sum(len(g) for g, _ in done.values()) >= 4 * FLUSH:
+            if sum(len(g) for g, _ in done.values()) >= HELD:
                 yield from rows()
     yield from rows()
 
@@ -187,9 +190,10 @@ def train(
         return LanguageFilter(languages, slots)
 
     spark = docs.sparkSession
-    known = spark.createDataFrame(
-        [(r["lang"], i, float(r["count"])) for i, r in enumerate(sizes)], "lang string, bit int, docs double"
-    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    columns = pa.array(languages), pa.array(range(len(sizes)), pa.int32()), pa.array([float(r["count"]) for r in sizes])
+    # from an Arrow table: rows of Python objects would start Python workers of another kind, which stay
+    known = spark.createDataFrame(pa.table(columns, ["lang", "bit", "docs"]))
     rates = (
         labelled.mapInArrow(_count_grams, "lang string, gram long, n long")
         .groupBy("lang", "gram")
@@ -219,6 +223,7 @@ def train(
 def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> Column:
     """A struct column (lang_pred, score) of the text column."""
     shared = docs.sparkSession.sparkContext.broadcast((model, model.false_positive()))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
     @F.pandas_udf("lang_pred string, score double")
     def decide(texts: pd.Series) -> pd.DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from brute import SF, brute_components, brute_exact, brute_hits, word_set
@@ -29,7 +31,7 @@ from fleetlens.llm import (
     sharding,
     token_counts,
 )
-from fleetlens.llm.common import Workspace, crc_fold
+from fleetlens.llm.common import ARROW_ROWS, Workspace, crc_fold
 
 SCHEMA = "doc_id long, text string, lang string, source string, kept string, component_id string, norm string"
 
@@ -449,6 +451,37 @@ def test_language_held_out_accuracy_and_edges(spark, docs, edge, empty):
     assert {r.lang_pred for r in language_id.identify(edge, nothing).collect()} == {"und"}
 
 
+def test_language_training_needs_only_small_batches_and_no_workers_of_another_kind(spark, monkeypatch):
+    docs = spark.createDataFrame([("the cat sat on the mat", "en"), ("die katze lag dort", "de")], "text string, lang string")
+    docs = docs.localCheckpoint()  # made of Python rows, and only this one may be
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of Python objects")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    for step in (lambda: language_id.train(docs), lambda: language_id.predict(docs, language_id.train(docs.limit(0)))):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        step()
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(ARROW_ROWS)
+    assert set(language_id.train(docs).languages) == {"de", "en"}
+
+
+def test_language_counts_are_whole_and_bounded_in_memory():
+    rng = np.random.default_rng(3)
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x4E00 + 20, 6000)) for _ in range(400)]
+    batches = [pa.record_batch([pa.array(["zh"] * 40), pa.array(texts[i : i + 40])], names=["lang", "text"]) for i in range(0, 400, 40)]
+    expected = Counter(int(g) for t in texts for g in np.unique(language_id.gram_hashes(t)).view(np.int64))
+    tracemalloc.start()
+    found = Counter()
+    for batch in language_id._count_grams(iter(batches)):
+        for gram, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            found[gram] += n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(expected.values()) > 1 << 20 and found == expected
+    assert peak < 32 << 20
+
+
 def test_filter_returns_all_languages_of_a_gram(spark):
     rows = [("aaa abc", "x")] * 3 + [("aaa xyz", "y")] * 3
     model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
