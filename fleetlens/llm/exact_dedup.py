@@ -113,26 +113,18 @@ def build_filters(fingerprints: DataFrame, block_bits: int) -> DataFrame:
     return fingerprints.mapInArrow(build, FILTER_SCHEMA)
 
 
-def merge_filters(filters: DataFrame, block_bits: int) -> DataFrame:
-    """One filter per block: a task reads the filters of one block, whose size depends on distinct fingerprints only."""
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_decode(*row, block_bits) for row in pdf.itertuples(index=False)]
-        return pd.DataFrame(list(_encode(*_merge(parts), block_bits)), columns=pdf.columns)
-
-    return filters.groupBy("block").applyInPandas(merge, FILTER_SCHEMA)
-
-
 def counted_above_one(filters: DataFrame, block_bits: int) -> DataFrame:
-    """Fingerprints (column fp) of the merged filter whose counter is above one."""
+    """Fingerprints (column fp) whose counter is above one in the sum of the filters.
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                fingerprints, counts = _decode(*row, block_bits)
-                yield pa.RecordBatch.from_arrays([pa.array(fingerprints[counts > 1].view(np.int64))], names=["fp"])
+    A task merges the filters of one block, whose size depends on distinct
+    fingerprints only, and picks from it in the same Python worker.
+    """
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        fingerprints, counts = _merge([_decode(*row, block_bits) for row in pdf.itertuples(index=False)])
+        return pd.DataFrame({"fp": fingerprints[counts > 1].view(np.int64)})
 
-    return filters.mapInArrow(pick, "fp long")
+    return filters.groupBy("block").applyInPandas(pick, "fp long")
 
 
 def exact_groups(
@@ -156,7 +148,7 @@ def exact_groups(
         "keys",
     )
     bits = block_bits_for(keys.count())
-    filters = merge_filters(build_filters(keys.select("fp"), bits), bits)
+    filters = build_filters(keys.select("fp"), bits)
     repeated = small_side(work.save(counted_above_one(filters, bits), "repeated"), 16)
 
     best = F.min(F.struct((-F.col("points")).alias("less"), "doc_id"))["doc_id"]

@@ -451,6 +451,25 @@ def test_language_held_out_accuracy_and_edges(spark, docs, edge, empty):
     assert {r.lang_pred for r in language_id.identify(edge, nothing).collect()} == {"und"}
 
 
+def test_repeated_fingerprints_take_one_python_worker_a_task(spark, monkeypatch):
+    plans = []
+    save = Workspace.save
+
+    def watch(self, df, name):
+        if name == "repeated":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(self, df, name)
+
+    monkeypatch.setattr(Workspace, "save", watch)
+    texts = [(1, "a b"), (2, "ab"), (3, None), (4, ""), (5, "c"), (5, "c")]
+    found = exact_dedup.exact_groups(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in found) == [
+        (1, 1, 2), (2, 1, 2), (3, 3, 2), (4, 3, 2), (5, 5, 2), (5, 5, 2)
+    ]
+    merged_where = plans[0].split("Exchange")[0]
+    assert merged_where.count("FlatMapGroupsInPandas") == 1 and "MapInArrow" not in merged_where
+
+
 def test_language_training_needs_only_small_batches_and_no_workers_of_another_kind(spark, monkeypatch):
     docs = spark.createDataFrame([("the cat sat on the mat", "en"), ("die katze lag dort", "de")], "text string, lang string")
     docs = docs.localCheckpoint()  # made of Python rows, and only this one may be
